@@ -55,7 +55,7 @@ def rfm_base(orders: DataFrame, as_of: str | datetime | None = None) -> DataFram
     )
 
 
-def rfm_scores(base: DataFrame, rows_per_bucket: int = ranking.ROWS_PER_BUCKET) -> DataFrame:
+def rfm_scores(base: DataFrame, rows_per_bucket: int | None = None) -> DataFrame:
     """Quintile scores of ``rfm_base``, 5 best. Equal values are ordered by customer id."""
     scores = {
         "r_score": ("recency_days", True),
@@ -69,7 +69,7 @@ def gold_customer_rfm(
     orders: DataFrame,
     customers: DataFrame,
     as_of: str | datetime | None = None,
-    rows_per_bucket: int = ranking.ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Silver customers with scores and segment. The first matching rule names the segment; customers
     without a delivered order match none and need attention."""
@@ -100,7 +100,7 @@ def gold_customer_rfm(
 
 
 def gold_product_performance(
-    products: DataFrame, rows_per_bucket: int = ranking.ROWS_PER_BUCKET
+    products: DataFrame, rows_per_bucket: int | None = None
 ) -> DataFrame:
     """Stored ``silver_products`` with ranks by revenue and orders, rank within category, and revenue share.
 

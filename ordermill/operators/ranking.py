@@ -98,7 +98,7 @@ def add_ntiles(
     id_column: str,
     scores: Mapping[str, tuple[str, bool]],
     tiles: int = 5,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add an integer NTILE column for each entry ``name: (value column, descending)`` of ``scores``.
 
@@ -107,6 +107,7 @@ def add_ntiles(
     rows. The table itself is neither shuffled nor sorted.
     """
     names = list(scores)
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     n_rows = df.count()
     if n_rows == 0:
         return df.select("*", *[F.lit(None).cast("int").alias(name) for name in names])
@@ -176,13 +177,14 @@ def add_ntiles(
 def add_ranks(
     df: DataFrame,
     ranks: Mapping[str, tuple[str, str | None]],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add a bigint RANK column for each entry ``name: (value column, group column or None)``.
 
     The order is descending with NULL first; the group column is text. Rows that tie with a cut
     point get their rank without being sorted, which takes care of values shared by very many rows.
     """
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     n_rows = df.count()
     if n_rows <= rows_per_bucket:
         return df.select("*", *[_plain_rank(value, group).alias(name) for name, (value, group) in ranks.items()])

@@ -6,6 +6,7 @@ in the scratch folder first, as the daily run stores it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -84,7 +85,7 @@ class StarModels:
         )
 
     def copied(self) -> DataFrame:
-        target = f"{scratch_dir(self.spark)}/copy"
+        target = f"{scratch_dir(self.spark)}/copy-{uuid.uuid4().hex[:8]}"
         return copy_tables(self.raw, target).drop("seconds")
 
 
