@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ordermill.plans.lake import Lake
 from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS
 from ordermill.sources.copying import load_report
+from ordermill.sources.split_csv import read_split_csv
 
 # File name of each table, without prefix and ending.
 FILE_STEMS = {
@@ -25,6 +26,8 @@ FILE_STEMS = {
 UNPREFIXED = ("category_translation",)
 # Tables with free text, in which a quoted field may hold line breaks.
 FREE_TEXT = ("reviews",)
+# Spark reads a file with such fields in one task; a larger one is read in blocks.
+ONE_TASK_BYTES = 128 * 1024 * 1024
 # Texts that mean a missing value.
 MISSING_MARKERS = (
     "",
@@ -54,9 +57,19 @@ def file_of(csv_root: str, table: str, stem_prefix: str = "") -> str:
     return f"{csv_root.rstrip('/')}/{prefix}{FILE_STEMS[table]}.csv"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def _n_bytes(spark: SparkSession, path: str) -> int:
+    files, hadoop_path = _file_system(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
@@ -74,8 +87,11 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     found = reader.csv(path).columns
-    lines = reader.option("multiLine", table in FREE_TEXT)
-    source = lines.schema(T.StructType([T.StructField(c, T.StringType()) for c in found])).csv(path)
+    if table in FREE_TEXT and _n_bytes(spark, path) > ONE_TASK_BYTES:
+        source = read_split_csv(spark, path, found)
+    else:
+        text_columns = T.StructType([T.StructField(c, T.StringType()) for c in found])
+        source = reader.option("multiLine", table in FREE_TEXT).schema(text_columns).csv(path)
     columns = []
     for name, kind in RAW_COLUMNS[table].items():
         given = name if name in found else OTHER_SPELLINGS.get(name, name)
