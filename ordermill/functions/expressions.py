@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ordermill.schemas import ORDER_MONEY
+
 
 def title_case(text: Column) -> Column:
     """Upper-case the first character of every run of letters and digits, lower-case the rest.
@@ -48,6 +50,15 @@ def cents(amount: Column) -> Column:
     return (amount * F.lit(100)).cast("decimal(29,0)")
 
 
+def sum_in_order(amount: str) -> str:
+    """SQL for the sum of an amount with two places within one order.
+
+    Adds whole hundredths as bigint, several times faster than decimals and with a wider range than
+    the decimal(18,2) of the result; overflow raises.
+    """
+    return f"CAST(CAST(sum(bigint({amount} * 100)) AS decimal(20,0)) * 0.01 AS {ORDER_MONEY})"
+
+
 def distinct_list(text: Column) -> Column:
     """Sorted distinct values joined by ", "; NULL when there are none."""
     found = F.array_sort(F.collect_set(text))
@@ -61,10 +72,8 @@ def as_of_column(as_of: str | datetime | None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def day_of_week(date: Column) -> Column:
-    """0 for Sunday up to 6 for Saturday."""
-    return F.dayofweek(date) - 1
-
+# 0 for Sunday up to 6 for Saturday.
+DAY_OF_WEEK = "dayofweek({}) - 1"
 
 # Labels of the reports.
 DAY_LABELS = {0: "Sun", 1: "Mon", 2: "Tue", 3: "Wed", 4: "Thu", 5: "Fri", 6: "Sat"}

@@ -25,7 +25,7 @@ Build = Callable[[DataFrame, Sequence[DataFrame]], DataFrame]
 
 def scan_bytes(df: DataFrame) -> int:
     """Size of the files and tables that ``df`` reads, by Spark's own statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 

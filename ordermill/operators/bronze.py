@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.expressions import clean_lower, clean_upper, title_case
 
+SENTIMENT = (
+    "CASE WHEN review_score >= 4 THEN 'positive' WHEN review_score = 3 THEN 'neutral' "
+    "WHEN review_score IS NOT NULL THEN 'negative' END"
+)
+
 
 def bronze_orders(orders: DataFrame) -> DataFrame:
     """Orders with both ids, status in lower case, and whether delivery was later than estimated."""
@@ -93,12 +98,8 @@ def bronze_reviews(reviews: DataFrame) -> DataFrame:
         "review_id",
         "order_id",
         F.col("review_score").cast("int"),
-        sentiment_of(F.col("review_score")).alias("sentiment"),
+        F.expr(SENTIMENT).alias("sentiment"),
         F.col("review_creation_date").cast("timestamp_ntz"),
         F.col("review_answer_timestamp").cast("timestamp_ntz"),
         "ingested_at",
     )
-
-
-def sentiment_of(score):
-    return F.when(score >= 4, "positive").when(score == 3, "neutral").when(score.isNotNull(), "negative")

@@ -20,7 +20,7 @@ from ordermill.functions.expressions import (
     percent,
     thousands,
 )
-from ordermill.operators.silver import SCORES, reviews_by_order
+from ordermill.operators.silver import SCORE_SUM, reviews_by_order
 from ordermill.schemas import TOTAL_MONEY
 
 
@@ -125,11 +125,8 @@ def reviews_by_category(
     and order rows are counted per order first, so these rows are never formed.
     """
     order_rows = orders.groupBy("order_id").agg(_count().alias("n_rows"))
-    score_sum = sum((F.col(f"n_score_{s}") * s for s in SCORES), F.lit(0))
-    weights = order_rows.join(reviews_by_order(reviews), "order_id").select(
-        "order_id",
-        (F.col("n_rows") * F.col("n_reviews")).alias("n"),
-        (F.col("n_rows") * score_sum).alias("score_sum"),
+    weights = order_rows.join(reviews_by_order(reviews), "order_id").selectExpr(
+        "order_id", "n_rows * n_reviews AS n", f"n_rows * ({SCORE_SUM}) AS score_sum"
     )
     items = order_items.select("order_id", "product_id")
     weighed = skew.join_hot_apart(

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import skew
-from ordermill.functions.expressions import as_of_column, day_of_week, distinct_list, exact_avg
-from ordermill.operators.bronze import sentiment_of
+from ordermill.functions.expressions import DAY_OF_WEEK, as_of_column, distinct_list, exact_avg, sum_in_order
+from ordermill.operators.bronze import SENTIMENT
 from ordermill.schemas import ORDER_MONEY, TOTAL_MONEY
 
 SCORES = (1, 2, 3, 4, 5)
@@ -27,7 +27,7 @@ WIDE_ORDER = 100_000
 def payments_by_order(payments: DataFrame) -> DataFrame:
     """Per order: amount paid, most installments, distinct payment types in order, joined by ", "."""
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(ORDER_MONEY).alias("total_payment"),
+        F.expr(f"{sum_in_order('payment_value')} AS total_payment"),
         F.max("payment_installments").alias("max_installments"),
         distinct_list(F.col("payment_type")).alias("payment_types"),
     )
@@ -36,35 +36,30 @@ def payments_by_order(payments: DataFrame) -> DataFrame:
 def items_by_order(order_items: DataFrame) -> DataFrame:
     """Per order: number of items, sums of price, freight and item value."""
     return order_items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_items"),
-        F.sum("price").cast(ORDER_MONEY).alias("items_revenue"),
-        F.sum("freight_value").cast(ORDER_MONEY).alias("freight_revenue"),
-        F.sum("total_item_value").cast(ORDER_MONEY).alias("total_revenue"),
+        F.expr("count(1) AS n_items"),
+        F.expr(f"{sum_in_order('price')} AS items_revenue"),
+        F.expr(f"{sum_in_order('freight_value')} AS freight_revenue"),
+        F.expr(f"{sum_in_order('total_item_value')} AS total_revenue"),
     )
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:
     """Per order: number of reviews, and how many of them gave each score."""
+    by_score = [F.expr(f"count_if(review_score = {s}) AS n_score_{s}") for s in SCORES]
     return (
-        reviews.filter(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(
-            F.count(F.lit(1)).alias("n_reviews"),
-            *[F.count_if(F.col("review_score") == s).alias(f"n_score_{s}") for s in SCORES],
-        )
+        reviews.filter("order_id IS NOT NULL").groupBy("order_id").agg(F.expr("count(1) AS n_reviews"), *by_score)
     )
 
 
-def _score_sum():
-    return sum((F.col(f"n_score_{s}") * s for s in SCORES[1:]), F.col(f"n_score_{SCORES[0]}") * SCORES[0])
+# Of the output of reviews_by_order: sum of the scores of an order.
+SCORE_SUM = " + ".join(f"{s} * n_score_{s}" for s in SCORES)
 
 
 def _one_row_per_review(rows: DataFrame) -> DataFrame:
     """Repeat every order once per review and give the copy its score; an order without reviews stays."""
-    copies = [
-        F.array_repeat(F.lit(s), F.coalesce(F.col(f"n_score_{s}"), F.lit(0)).cast("int")) for s in SCORES
-    ]
-    return rows.withColumn("review_score", F.explode_outer(F.flatten(F.array(*copies)))).drop(*_REVIEW_COUNTS)
+    copies = ", ".join(f"array_repeat({s}, int(coalesce(n_score_{s}, 0)))" for s in SCORES)
+    kept = [c for c in rows.columns if c not in _REVIEW_COUNTS]
+    return rows.selectExpr(*kept, f"explode_outer(flatten(array({copies}))) AS review_score")
 
 
 _REVIEW_COUNTS = ["n_reviews", *[f"n_score_{s}" for s in SCORES]]
@@ -72,17 +67,15 @@ _REVIEW_COUNTS = ["n_reviews", *[f"n_score_{s}" for s in SCORES]]
 
 def _one_row_per_review_wide(rows: DataFrame) -> DataFrame:
     """As above for orders with very many reviews: the copies are cut into portions and spread first."""
-    by_score = F.array(
-        *[F.struct(F.lit(s).alias("review_score"), F.col(f"n_score_{s}").alias("n")) for s in SCORES]
-    )
+    by_score = ", ".join(f"struct({s} AS review_score, n_score_{s} AS n)" for s in SCORES)
     kept = [c for c in rows.columns if c not in _REVIEW_COUNTS]
     portions = (
-        rows.select(*kept, F.inline(F.filter(by_score, lambda c: c["n"] > 0)))
-        .withColumn("portion", F.explode(F.expr(f"sequence(0L, (n - 1) div {WIDE_ORDER})")))
+        rows.selectExpr(*kept, f"inline(filter(array({by_score}), c -> c.n > 0))")
+        .selectExpr("*", f"explode(sequence(0L, (n - 1) div {WIDE_ORDER})) AS portion")
         .repartition("order_id", "review_score", "portion")
     )
-    size = F.least(F.lit(WIDE_ORDER), F.col("n") - F.col("portion") * WIDE_ORDER).cast("int")
-    return portions.withColumn("copy", F.explode(F.array_repeat(F.lit(1), size))).drop("copy", "portion", "n")
+    size = f"int(least({WIDE_ORDER}, n - portion * {WIDE_ORDER}))"
+    return portions.selectExpr(*kept, "review_score", f"explode(array_repeat(1, {size})) AS copy").drop("copy")
 
 
 def silver_orders(
@@ -99,19 +92,17 @@ def silver_orders(
     items = [] if order_items is None else [items_by_order(order_items)]
     pays = [] if payments is None else [payments_by_order(payments)]
     scores = reviews_by_order(reviews)
-    bought = F.col("order_purchase_timestamp")
-    day = F.to_date(bought)
-    base = orders.select(
+    base = orders.selectExpr(
         "order_id",
         "customer_id",
         "order_status",
         "order_purchase_timestamp",
-        day.alias("order_date"),
-        F.trunc(day, "week").alias("order_week"),
-        F.trunc(day, "month").alias("order_month"),
-        F.year(bought).alias("order_year"),
-        F.month(bought).alias("order_month_num"),
-        day_of_week(day).alias("order_dow"),
+        "to_date(order_purchase_timestamp) AS order_date",
+        "trunc(to_date(order_purchase_timestamp), 'week') AS order_week",
+        "trunc(to_date(order_purchase_timestamp), 'month') AS order_month",
+        "year(order_purchase_timestamp) AS order_year",
+        "month(order_purchase_timestamp) AS order_month_num",
+        f"{DAY_OF_WEEK.format('order_purchase_timestamp')} AS order_dow",
         "is_late_delivery",
     )
     if skew.is_small(reviews):
@@ -125,28 +116,23 @@ def silver_orders(
             few = few.join(side, "order_id", "left")
         rows = _one_row_per_review(most).unionByName(_one_row_per_review_wide(few))
 
-    columns = [F.col(c) for c in base.columns]
+    columns = list(base.columns)
     if items:
-        columns.append(F.coalesce("n_items", F.lit(0)).alias("n_items"))
-        for name in ("items_revenue", "freight_revenue", "total_revenue"):
-            columns.append(_or_zero(name, ORDER_MONEY))
+        columns.append("coalesce(n_items, 0L) AS n_items")
+        columns += [_or_zero(c, ORDER_MONEY) for c in ("items_revenue", "freight_revenue", "total_revenue")]
     if pays:
-        columns += [_or_zero("total_payment", ORDER_MONEY), F.col("payment_types"), F.col("max_installments")]
-    return rows.select(
+        columns += [_or_zero("total_payment", ORDER_MONEY), "payment_types", "max_installments"]
+    return rows.selectExpr(
         *columns,
         "review_score",
-        sentiment_of(F.col("review_score")).alias("sentiment"),
-        _flag("delivered").alias("is_delivered"),
-        _flag("canceled").alias("is_canceled"),
+        f"{SENTIMENT} AS sentiment",
+        "if(order_status <=> 'delivered', 1, 0) AS is_delivered",
+        "if(order_status <=> 'canceled', 1, 0) AS is_canceled",
     )
 
 
-def _or_zero(name: str, kind: str):
-    return F.coalesce(F.col(name), F.lit(0)).cast(kind).alias(name)
-
-
-def _flag(status: str):
-    return F.when(F.col("order_status") == status, 1).otherwise(0)
+def _or_zero(name: str, kind: str) -> str:
+    return f"CAST(coalesce({name}, 0) AS {kind}) AS {name}"
 
 
 def customer_order_stats(orders: DataFrame) -> DataFrame:
@@ -174,17 +160,18 @@ def silver_customers(customers: DataFrame, orders: DataFrame, as_of: str | datet
         .otherwise("churned")
     )
     base = customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
-    return skew.left_lookup(base, [customer_order_stats(orders)], "customer_id").select(
+    rows = skew.left_lookup(base, [customer_order_stats(orders)], "customer_id")
+    return rows.withColumn("customer_status", status).selectExpr(
         *base.columns,
-        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        "coalesce(total_orders, 0L) AS total_orders",
         _or_zero("total_spent", TOTAL_MONEY),
         _or_zero("avg_order_value", "double"),
         "first_order_date",
         "last_order_date",
         _or_zero("avg_review_score", "double"),
-        F.coalesce("delivered_orders", F.lit(0)).alias("delivered_orders"),
-        F.coalesce("canceled_orders", F.lit(0)).alias("canceled_orders"),
-        status.alias("customer_status"),
+        "coalesce(delivered_orders, 0L) AS delivered_orders",
+        "coalesce(canceled_orders, 0L) AS canceled_orders",
+        "customer_status",
     )
 
 
@@ -195,42 +182,44 @@ def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame)
     row of its order and a review of its order.
     """
     delivered = (
-        orders.filter(F.col("order_status") == "delivered")
-        .groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        orders.filter("order_status = 'delivered'").groupBy("order_id").agg(F.expr("count(1) AS n_rows"))
     )
-    n_reviews = F.coalesce("n_reviews", F.lit(0))
-    weights = delivered.join(reviews_by_order(reviews), "order_id", "left").select(
+    weights = delivered.join(reviews_by_order(reviews), "order_id", "left").selectExpr(
         "order_id",
-        (F.col("n_rows") * F.greatest(n_reviews, F.lit(1))).alias("weight"),
-        (F.col("n_rows") * n_reviews).alias("score_weight"),
-        (F.col("n_rows") * F.coalesce(_score_sum(), F.lit(0))).alias("score_sum"),
+        "n_rows * greatest(coalesce(n_reviews, 0L), 1L) AS weight",
+        "n_rows * coalesce(n_reviews, 0L) AS score_weight",
+        f"n_rows * coalesce({SCORE_SUM}, 0L) AS score_sum",
     )
     items = order_items.select("order_id", "product_id", "price", "freight_value")
 
     def per_order_and_product(rows: DataFrame, sides) -> DataFrame:
         # rows arrive partitioned by order_id, so this grouping needs no shuffle of its own
-        return (
+        sums = (
             rows.join(sides[0], "order_id")
-            .groupBy("order_id", "product_id")
+            .groupBy("order_id", "product_id", "weight", "score_weight", "score_sum")
             .agg(
-                F.sum(F.col("price") * F.col("weight")).alias("revenue"),
-                F.sum(F.col("freight_value") * F.col("weight")).alias("freight"),
-                F.sum("weight").alias("n"),
-                F.sum("score_sum").alias("score_sum"),
-                F.sum("score_weight").alias("score_n"),
+                F.expr(f"{sum_in_order('price')} AS price"),
+                F.expr(f"{sum_in_order('freight_value')} AS freight"),
+                F.expr("count(1) AS n"),
             )
         )
+        return sums.selectExpr(
+            "product_id",
+            "price * weight AS revenue",
+            "freight * weight AS freight",
+            "n * weight AS n",
+            "n * score_sum AS score_sum",
+            "n * score_weight AS score_n",
+        )
 
     pairs = skew.join_hot_apart(items, [weights], "order_id", per_order_and_product)
-    revenue = F.sum("revenue").cast(TOTAL_MONEY)
     return pairs.groupBy("product_id").agg(
         # one row per order and product by now
-        F.count(F.lit(1)).alias("total_orders"),
-        revenue.alias("total_revenue"),
-        (revenue.cast("double") / F.sum("n")).alias("avg_price"),
-        F.sum("freight").cast(TOTAL_MONEY).alias("total_freight"),
-        (F.sum("score_sum").cast("double") / F.nullif(F.sum("score_n"), F.lit(0))).alias("avg_review_score"),
+        F.expr("count(1) AS total_orders"),
+        F.expr(f"CAST(sum(revenue) AS {TOTAL_MONEY}) AS total_revenue"),
+        F.expr("CAST(sum(revenue) AS double) / sum(n) AS avg_price"),
+        F.expr(f"CAST(sum(freight) AS {TOTAL_MONEY}) AS total_freight"),
+        F.expr("CAST(sum(score_sum) AS double) / nullif(sum(score_n), 0L) AS avg_review_score"),
     )
 
 
@@ -242,9 +231,9 @@ def silver_products(
         "product_id", "category_english", "category_portuguese", "product_photos_qty", "product_weight_g"
     )
     sales = product_sales(order_items, orders, reviews)
-    return skew.left_lookup(base, [sales], "product_id").select(
+    return skew.left_lookup(base, [sales], "product_id").selectExpr(
         *base.columns,
-        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        "coalesce(total_orders, 0L) AS total_orders",
         _or_zero("total_revenue", TOTAL_MONEY),
         _or_zero("avg_price", "double"),
         _or_zero("total_freight", TOTAL_MONEY),

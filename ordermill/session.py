@@ -29,6 +29,9 @@ def local_session(app: str = "ordermill", cpus: str | int = "*", **extra: str) -
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": str(cores),
+        # small stages keep all cores busy instead of ending up in one task
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **extra,
     }
     for name, value in settings.items():
