@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.operators import gold, marts, quality, silver
 from ordermill.plans.lake import Lake
 from ordermill.schemas import BRONZE_TABLES, MARTS
+from ordermill.session import at_the_same_time
 from ordermill.sources.csv_files import load_raw
 
 LAYERS = ("bronze", "silver", "gold")
-# Tables that do not depend on each other are built at the same time.
-THREADS = 4
 
 
 def _write_all(lake: Lake, layer: str, tables: Mapping[str, Callable[[], DataFrame]]) -> None:
-    with ThreadPoolExecutor(THREADS) as pool:
-        for done in [pool.submit(lambda n, f: lake.write(layer, n, f()), n, f) for n, f in tables.items()]:
-            done.result()
+    at_the_same_time(lambda name: lake.write(layer, name, tables[name]()), tables)
 
 
 def build_bronze(lake: Lake) -> None:

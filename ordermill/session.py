@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+K = TypeVar("K")
+V = TypeVar("V")
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -15,8 +21,13 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # collect_set per order has many small groups: stay hashed instead of sorting after 128 keys.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # a run generates several hundred classes; with the default of 100 they are compiled over and over
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
+# Tables that do not depend on each other are written at the same time, this many at once.
+WRITERS = 4
+
 _scratch: dict[str, str] = {}
 
 
@@ -55,6 +66,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return _scratch[app]
 
 
+def at_the_same_time(action: Callable[[K], V], names: Iterable[K]) -> dict[K, V]:
+    """Result of ``action`` for each name. The first failure is raised."""
+    names = list(names)
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(names, pool.map(action, names)))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: computed once, lineage cut, safe to lose executors."""
     spark = df.sparkSession

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.session import at_the_same_time
+
 REPORT = "table_name string, status string, n_rows bigint"
 
 
@@ -81,12 +83,16 @@ def read_jdbc(
 def _copy(
     tables: Mapping[str, DataFrame | None], write: Callable[[str, DataFrame], DataFrame]
 ) -> DataFrame:
-    copied: dict[str, DataFrame | None] = {}
     seconds: dict[str, float] = {}
-    for name, df in tables.items():
+
+    def copy(name: str) -> DataFrame | None:
         start = time.monotonic()
-        copied[name] = None if df is None else write(name, df)
+        df = tables[name]
+        copied = None if df is None else write(name, df)
         seconds[name] = time.monotonic() - start
+        return copied
+
+    copied = at_the_same_time(copy, tables)
     report = load_report(copied, "copied")
     took = F.create_map(*[F.lit(x) for pair in seconds.items() for x in pair])
     return report.withColumn("seconds", took[F.col("table_name")])

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ordermill.plans.lake import Lake
 from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS
+from ordermill.session import at_the_same_time
 from ordermill.sources.copying import load_report
 from ordermill.sources.split_csv import read_split_csv
 
@@ -106,13 +107,15 @@ def load_raw(spark: SparkSession, csv_root: str, lake: Lake, stem_prefix: str =
 
     A missing file is reported as skipped and leaves its table as it is.
     """
-    loaded: dict[str, DataFrame | None] = {}
-    for table in RAW_COLUMNS:
+
+    def load(table: str) -> DataFrame | None:
         path = file_of(csv_root, table, stem_prefix)
-        loaded[table] = None
-        if _exists(spark, path):
-            rows = read_csv(spark, path, table).withColumn("ingested_at", F.localtimestamp())
-            loaded[table] = lake.write("raw", table, rows)
+        if not _exists(spark, path):
+            return None
+        rows = read_csv(spark, path, table).withColumn("ingested_at", F.localtimestamp())
+        return lake.write("raw", table, rows)
+
+    loaded = at_the_same_time(load, RAW_COLUMNS)
     if all(df is None for df in loaded.values()):
         raise FileNotFoundError(f"no source files below {csv_root}")
     return load_report(loaded)
