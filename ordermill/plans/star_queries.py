@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.functions.skew import is_small
 from ordermill.operators import gold, marts, quality, silver
 from ordermill.plans.lake import bronze_frame
 from ordermill.schemas import RAW_TABLES
@@ -61,7 +62,11 @@ class StarModels:
         )
 
     def daily(self) -> DataFrame:
-        return gold.gold_revenue_daily(self.sold_orders)
+        orders = self.sold_orders
+        if not is_small(orders):
+            # read twice, for the sums and for the distinct customers
+            orders = keep(orders.drop("order_purchase_timestamp", "order_week", "order_month"), "silver_orders")
+        return gold.gold_revenue_daily(orders)
 
     def rfm(self) -> DataFrame:
         wanted = ["customer_id", "order_status", "order_date", "order_purchase_timestamp", "total_revenue"]
