@@ -21,7 +21,7 @@ from ordermill.schemas import ORDER_MONEY, TOTAL_MONEY
 SCORES = (1, 2, 3, 4, 5)
 # An order with more reviews than this is spread over several tasks. At most reviews / WIDE_ORDER
 # orders can be that wide.
-WIDE_ORDER = 100_000
+WIDE_ORDER = 1_000_000
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
