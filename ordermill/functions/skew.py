@@ -4,8 +4,7 @@ The right sides met here are grouped by the join key, so they have one row per k
 may hold any number of rows per key. A plain shuffle join sends a hot key to a single task, and the
 adaptive planner cannot split it, because the grouped side brings its own partitioning. So rows of
 hot keys take a branch of their own: the few matching right rows are broadcast and the left rows
-stay where they are. Without hot keys the broadcast list is empty and the adaptive planner drops
-the branch while the query runs.
+stay where they are. Looking for hot keys reads the key column and shuffles next to nothing.
 """
 
 from __future__ import annotations
@@ -15,8 +14,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is hot. At most rows / HOT_ROWS keys can be: that bounds the broadcast.
+# A key is hot with more rows than this and a larger share of all rows than that. So there are fewer
+# than 1 / HOT_SHARE hot keys, which bounds what is collected and broadcast.
 HOT_ROWS = 1_000_000
+HOT_SHARE = 0.001
 # A plan that scans no more than this fits one task, whatever its keys look like.
 SMALL_SCAN_BYTES = 64 * 1024 * 1024
 
@@ -33,10 +34,18 @@ def is_small(df: DataFrame) -> bool:
     return scan_bytes(df) <= SMALL_SCAN_BYTES
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys with more than HOT_ROWS rows. Counting combines map-side, so a hot key costs a row per task."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.filter(F.col("n_rows") > HOT_ROWS).select(key)
+def hot_keys(df: DataFrame, key: str) -> list[str]:
+    """Keys that are hot in ``df``.
+
+    The frequent items of a column hold every value with at least the given share, and others too, so
+    the candidates are counted. Which keys are found decides only how evenly the work is spread.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    found = keys.freqItems([key], HOT_SHARE).first()
+    if not found or not found[0]:
+        return []
+    counted = keys.filter(F.col(key).isin(found[0])).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return [r[key] for r in counted.filter(F.col("n_rows") > HOT_ROWS).collect()]
 
 
 def join_hot_apart(left: DataFrame, rights: Sequence[DataFrame], key: str, build: Build) -> DataFrame:
@@ -44,11 +53,12 @@ def join_hot_apart(left: DataFrame, rights: Sequence[DataFrame], key: str, build
 
     ``build`` joins ``left`` with each of ``rights`` on ``key``; every right side has one row per key.
     """
-    if is_small(left):
+    hot = [] if is_small(left) else hot_keys(left, key)
+    if not hot:
         return build(left, rights)
-    hot = F.broadcast(hot_keys(left, key))
-    most = build(left.join(hot, key, "left_anti"), rights)
-    few = build(left.join(hot, key, "left_semi"), [F.broadcast(r.join(hot, key, "left_semi")) for r in rights])
+    is_hot = F.col(key).isin(hot)
+    most = build(left.filter(F.col(key).isNull() | ~is_hot), rights)
+    few = build(left.filter(is_hot), [F.broadcast(r.filter(is_hot)) for r in rights])
     return most.unionByName(few)
 
 

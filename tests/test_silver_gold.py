@@ -70,7 +70,7 @@ def limits(request, monkeypatch):
     """The plain branches, and those for hot keys and wide orders."""
     if request.param == "large":
         monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
-        monkeypatch.setattr(skew, "HOT_ROWS", 1)
+        monkeypatch.setattr(skew, "HOT_ROWS", 0)
         monkeypatch.setattr(silver, "WIDE_ORDER", 2)
 
 
@@ -302,3 +302,22 @@ def test_wall_clock_is_the_default(raw):
     customers = bronze.bronze_customers(raw("customers", {"customer_id": "c"}))
     assert silver.silver_customers(customers, rows).first()["customer_status"] == "active"
     assert abs(gold.rfm_base(rows).first()["recency_days"]) <= 1
+
+
+def test_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 300)
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
+    # a third hot, a third unknown, the rest single rows
+    assert skew.hot_keys(df, "k") == ["hot"]
+    assert skew.hot_keys(df.filter(F.col("k") != "hot"), "k") == []
+    assert skew.hot_keys(df.filter(F.col("k").isNull()), "k") == []
+
+
+def test_hot_lookup_keeps_every_row(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
+    monkeypatch.setattr(skew, "HOT_ROWS", 300)
+    left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
+    right = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k string, v int")
+    apart = skew.left_lookup(left, [right], "k")
+    assert "Union" in apart._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, apart.collect())) == sorted(map(str, left.join(right, "k", "left").select(apart.columns).collect()))
