@@ -1,9 +1,11 @@
 """Documents in chunks, and questions that chunks put to parts of a key space.
 
 A chunk is one row that holds whole documents with all their columns, as a compressed Arrow batch of bounded size
-(a longer document is a chunk of its own). Chunks are written to the shared scratch folder once, so that their
-numbers stay the same whatever executor is lost later, and rows need no key of their own: NULL and repeated ids,
-repeated rows and extra columns pass through untouched.
+(a longer document is a chunk of its own). Rows need no key of their own: NULL and repeated ids, repeated rows and
+extra columns pass through untouched. Chunks are written to the shared scratch folder once, so that their numbers stay the
+same whatever executor is lost later. Where reading ``docs`` gives the same rows in the same order each time, as a scan
+of files does, the caller may leave that out (``stable``). A chunk's number is then a hash of its content: equal chunks
+have equal answers, and if rows were dealt differently after all, answers would be missing and the run would stop.
 
 ``ask`` is the pattern that the chunk operators share. Each chunk sends one message to every part of a hashed key space
 of which it holds keys; Spark shuffles the messages by part; each part answers each chunk; Spark shuffles the answers
@@ -18,6 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +32,15 @@ CHUNK_BYTES = 4 << 20
 CHUNK_SCHEMA = "chunk long, n_bytes long, rows binary"
 MESSAGE_SCHEMA = "part int, chunk long, body binary"
 _CODEC = pa.Codec("zstd", compression_level=1)
-_WRITE = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
+_WRITE = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 
 
-def pack(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The rows of ``docs`` as written chunks. ``text`` decides the size of a chunk."""
+def pack(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK_BYTES, stable: bool = False, base: int = 0) -> DataFrame:
+    """The rows of ``docs`` as chunks, numbered from ``base``. ``text`` decides the size of a chunk."""
     column = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number = TaskContext.get().partitionId(), 0
+        number = None if stable else base + (TaskContext.get().partitionId() << 32)
         held, size = [], 0
         for batch in batches:
             lengths = byte_lengths(batch.column(column)) + 1
@@ -45,27 +48,31 @@ def pack(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK_BYTES)
             for row in range(batch.num_rows):
                 if size and size + lengths[row] > chunk_bytes:
                     held.append(batch.slice(first, row - first))
-                    yield _chunk((task << 32) + number, size, held)
-                    held, size, first, number = [], 0, row, number + 1
+                    yield _chunk(number, size, held)
+                    held, size, first, number = [], 0, row, None if stable else number + 1
                 size += int(lengths[row])
             held.append(batch.slice(first))
         if size:
-            yield _chunk((task << 32) + number, size, held)
+            yield _chunk(number, size, held)
 
-    return keep(docs.mapInArrow(cut, CHUNK_SCHEMA), name)
+    cut_up = docs.mapInArrow(cut, CHUNK_SCHEMA)
+    return cut_up if stable else keep(cut_up, name)
 
 
 def byte_lengths(column: pa.Array) -> np.ndarray:
     return np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0)).astype(np.int64)
 
 
-def _chunk(number: int, size: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+def _chunk(number: int | None, size: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches([b for b in held if b.num_rows])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=_WRITE) as out:
         out.write_table(table.combine_chunks())
+    rows = sink.getvalue().to_pybytes()
+    if number is None:
+        number = xxhash.xxh64_intdigest(rows) >> 1
     return pa.RecordBatch.from_pydict(
-        {"chunk": pa.array([number], pa.int64()), "n_bytes": pa.array([size], pa.int64()), "rows": [sink.getvalue().to_pybytes()]}
+        {"chunk": pa.array([number], pa.int64()), "n_bytes": pa.array([size], pa.int64()), "rows": [rows]}
     )
 
 
@@ -84,6 +91,10 @@ def text_buffer(table: pa.Table, text: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
+def extended(schema: StructType, ddl: str) -> StructType:
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def n_parts(chunks: DataFrame, bytes_per_part: int) -> int:
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     return int(max(1, -(-total // bytes_per_part)))

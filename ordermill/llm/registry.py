@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import quality_rules, substring_dedup, suffix_array_dedup
+from ordermill.llm import bpe, lm_scoring, quality_rules, substring_dedup, suffix_array_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _remainder(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; -1 without an id."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % n, F.lit(-1))
+
+
+def lm_fold(doc_id: Column) -> Column:
+    """Remainder 2 is held out; of the rest, remainder 3 serves to learn the weights before it joins the counts."""
+    rest = _remainder(doc_id, 7)
+    return F.when(rest == 2, lm_scoring.HELD_OUT).when(rest == 3, lm_scoring.WEIGHTS).otherwise(lm_scoring.LEARN)
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm_scoring.score(docs, lm_fold(F.col("doc_id")))
+    held_out = _remainder(F.col("doc_id"), 7) == 2
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -35,10 +53,26 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Content of a vocabulary file of the box."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.encode(docs, tokenizer_file(), stable=True, digests=True)
+    return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLE: dict[str, str] = {}

@@ -19,11 +19,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
 from ordermill.llm import repeats
 from ordermill.llm.anchors import Units
-from ordermill.llm.chunks import CHUNK_BYTES, finish, pack, text_buffer, with_answers
+from ordermill.llm.chunks import CHUNK_BYTES, extended, finish, pack, text_buffer, with_answers
 
 RESULT = ["n_words", "n_removed", "removed", "kept"]
 WINDOW = 35
@@ -64,10 +63,7 @@ def dedup(
     )
     chunks = pack(docs, text, "substring-chunks", chunk_bytes)
     answered = with_answers(chunks, repeats.repeated_windows(chunks, task, deep_leaves))
-    schema = StructType(docs.schema.fields).add("n_words", "long").add("n_removed", "long")
-    spans = StructType.fromDDL(f"removed {repeats.SPANS}, kept string")
-    for field in spans.fields:
-        schema = schema.add(field)
+    schema = extended(docs.schema, f"n_words long, n_removed long, removed {repeats.SPANS}, kept string")
 
     def result(number: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         units = Units.of_words(*text_buffer(rows, column))

@@ -20,11 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ordermill.llm import repeats
 from ordermill.llm.anchors import Units
-from ordermill.llm.chunks import CHUNK_BYTES, finish, pack, text_buffer, with_answers
+from ordermill.llm.chunks import CHUNK_BYTES, extended, finish, pack, text_buffer, with_answers
 
 RESULT = ["n_bytes", "n_removed", "removed", "kept"]
 LENGTH = 400
@@ -69,9 +68,7 @@ def dedup(
     )
     chunks = pack(docs, text, "suffix-chunks", chunk_bytes)
     answered = with_answers(chunks, repeats.repeated_windows(chunks, task, previous_factors))
-    schema = StructType(docs.schema.fields).add("n_bytes", "long").add("n_removed", "long")
-    for field in StructType.fromDDL(f"removed {repeats.SPANS}, kept binary").fields:
-        schema = schema.add(field)
+    schema = extended(docs.schema, f"n_bytes long, n_removed long, removed {repeats.SPANS}, kept binary")
 
     def result(number: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         data, texts = text_buffer(rows, column)
