@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, lm_scoring, quality_rules, substring_dedup, suffix_array_dedup
+from ordermill.llm import bpe, decontamination, lm_scoring, quality_rules, simhash, substring_dedup, suffix_array_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.mark(docs, _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def _remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; -1 without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % n, F.lit(-1))
@@ -53,6 +62,11 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, radius=3).select("doc_id", "fingerprint", "component_id")
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Content of a vocabulary file of the box."""
     import public_tokenizers
@@ -69,9 +83,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
 }
 

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import decontamination
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def cut(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items, window):
+    windows = {}
+    for item, text in items:
+        w = cut(text)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(item or "")
+    out = []
+    for text in docs:
+        w = cut(text)
+        hit, named = set(), set()
+        for win, ids in windows.items():
+            for i in range(len(w) - len(win) + 1):
+                if tuple(w[i : i + len(win)]) == win:
+                    hit |= set(range(i, i + len(win)))
+                    named |= ids
+        out.append((len(w), len(hit), sorted(named), bool(hit)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, -1])
+def test_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(3)
+    vocabulary = ["A", "b", "Cc", "dÉ", "é", "x1", "日本"]
+    items = [(str(i), " ".join(rng.choices(vocabulary, k=rng.randint(4, 25)))) for i in range(12)]
+    items += [(None, "b b é é A A b"), ("s1", "rare"), ("s2", "two, Words"), ("e", ""), ("n", None), ("0", items[1][1]), ("p", "--- !")]
+    docs = [None, "", " .,! ", "RARE", "not rare it is; two--words", "two words", "É dé", "é" * 3]
+    for _ in range(60):
+        pieces = [rng.choice(items)[1] or "" if rng.random() < 0.4 else " ".join(rng.choices(vocabulary, k=rng.randint(1, 30))) for _ in range(3)]
+        docs.append(rng.choice([" ", ", ", "\n"]).join(pieces))
+    docs += [docs[20]] * 10
+    frame = spark.createDataFrame([(i, t, 1) for i, t in enumerate(docs)], "doc_id long, text string, items int").repartition(3)
+    table = spark.createDataFrame(items, "item_id string, text string")
+    got = {r["doc_id"]: r for r in decontamination.mark(frame, table, window=6).collect()}
+    expect = brute(docs, items, 6)
+    assert len(got) == len(docs)
+    for i, e in enumerate(expect):
+        r = got[i]
+        assert (r["n_words"], r["n_hit"], list(r["items"]), r["contaminated"]) == e, docs[i]
+    left = decontamination.clean(frame, table, window=6)
+    assert left.columns == frame.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [i for i, e in enumerate(expect) if not e[3]]
+
+
+def test_no_items_and_no_documents(spark):
+    docs = spark.createDataFrame([(1, "a b c", None)], "doc_id long, text string, lang string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    row = decontamination.mark(docs, none).first()
+    assert (row["n_words"], row["n_hit"], row["items"], row["contaminated"]) == (3, 0, [], False)
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert decontamination.mark(docs.limit(0), items).count() == 0
+    assert decontamination.clean(docs, none).count() == 1
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    plan = decontamination.mark(docs.withColumn("text", F.upper("text")), items)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
