@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, decontamination, lm_scoring, quality_rules, simhash, substring_dedup, suffix_array_dedup
+from ordermill.llm import bpe, decontamination, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(_table(spark, sf_dir, "documents"), ["source", "lang", "n_chars", "doc_id"], shards=8)
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE: dict[str, str] = {}
