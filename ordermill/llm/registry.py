@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, decontamination, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
+from ordermill.llm import bpe, decontamination, language_id, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,14 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder(F.col("doc_id"), 3) == 1
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_simhash": op7_simhash,
