@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, decontamination, language_id, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
+from ordermill.llm import bpe, decontamination, html_extraction, language_id, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=3, radius=3).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Content of a vocabulary file of the box."""
     import public_tokenizers
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_simhash": op7_simhash,
+    "op8_html_extraction": op8_html_extraction,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
 }
