@@ -50,10 +50,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Hashes:
+_BLOCK = 1 << 19
+
+
+class _Hashes:
     """Hash of any stretch of ``data``, in constant time."""
 
-    def __init__(self, data: np.ndarray, which: int = 0):
+    def __init__(self, data: np.ndarray, which: int):
         self.sums = np.zeros(len(data) + 1, np.uint64)
         powers, self.inverse = _power(which, len(data) + 1)
         np.cumsum(_letters(which)[data] * powers[: len(data)], dtype=np.uint64, out=self.sums[1:])
@@ -63,6 +66,16 @@ class Hashes:
         return mix(raw + (ends - starts).astype(np.uint64))
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """64-bit hash of each stretch of ``data``; starts and ends in order. Works in blocks, so memory stays small."""
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), _BLOCK)), [0, len(starts)]))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        low, high = int(starts[i]), int(ends[j - 1])
+        out[i:j] = _Hashes(data[low:high], which).of(starts[i:j] - low, ends[i:j] - low)
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of texts begin and end; ``offsets`` are the texts' first bytes and the last one's end."""
     if not len(data):
@@ -111,8 +124,8 @@ class Units:
 
     @staticmethod
     def of_bytes(data: np.ndarray, offsets: np.ndarray) -> Units:
-        at = np.arange(len(data))
-        return Units(data, at, at + 1, offsets)
+        at = np.arange(len(data) + 1, dtype=np.int32)
+        return Units(data, at[:-1], at[1:], offsets)
 
 
 @dataclass
@@ -126,13 +139,26 @@ class Anchors:
 
 
 def find(units: Units, length: int, gram: int) -> Anchors:
-    n = len(units.starts)
-    width = length - gram + 1
-    begin = _windows(units.texts, length)
-    if not len(begin):
+    blocks = [_find(units, length, gram, low) for low in range(0, len(units.starts), _BLOCK)]
+    blocks = [x for x in blocks if x is not None]
+    if not blocks:
         none = np.zeros(0, np.int64)
         return Anchors(np.zeros(0, np.uint64), none, none, none)
-    grams = Hashes(units.data).of(units.starts[: n - gram + 1], units.ends[gram - 1 :])
+    return Anchors(*[np.concatenate([b[k] for b in blocks]) for k in range(4)])
+
+
+def _find(units: Units, length: int, gram: int, low: int) -> tuple[np.ndarray, ...] | None:
+    """Anchors of the windows that begin in the block of units at ``low``."""
+    high = min(low + _BLOCK, len(units.starts))
+    first_text, last_text = np.searchsorted(units.texts, [low, high - 1], side="right") - 1
+    borders = np.clip(units.texts[first_text : last_text + 2], low, high)
+    room = np.repeat(units.texts[first_text + 1 : last_text + 2], np.diff(borders))
+    begin = np.flatnonzero(np.arange(low, high) + length <= room)
+    if not len(begin):
+        return None
+    n = min(high + length - 1, len(units.starts)) - low
+    width = length - gram + 1
+    grams = hash_spans(units.data, units.starts[low : low + n - gram + 1], units.ends[low + gram - 1 : low + n])
     mask = np.uint64(0xFFFFFFFF)  # the same for every chunk: the choice must not depend on a chunk's size
     least = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
     span = 1
@@ -145,10 +171,10 @@ def find(units: Units, length: int, gram: int) -> Anchors:
     fresh = np.concatenate([[True], (at[1:] != at[:-1]) | (begin[1:] != begin[:-1] + 1)])
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(begin)) - 1
-    return Anchors(grams[at[first]], at[first], begin[first], begin[last])
+    return grams[at[first]], at[first] + low, begin[first] + low, begin[last] + low
 
 
-def _windows(texts: np.ndarray, length: int) -> np.ndarray:
+def windows(texts: np.ndarray, length: int) -> np.ndarray:
     """First units of all windows that lie within one text."""
     counts = np.maximum(np.diff(texts) - length + 1, 0)
     skip = np.cumsum(counts) - counts

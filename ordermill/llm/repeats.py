@@ -22,14 +22,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
 from ordermill.llm import anchors
-from ordermill.llm.anchors import Hashes, Units
+from ordermill.llm.anchors import Units, hash_spans
 from ordermill.llm.chunks import (
     ask, expand, n_parts, pack_arrays, pack_sorted, part_of, slices_by_part, squeeze, text_buffer, unpack_arrays,
     unpack_sorted, with_answers,
 )
 
 ANCHORS_PART_BYTES = 64 << 20
-CONTEXTS_PART_BYTES = 8 << 20
+CONTEXTS_PART_BYTES = 4 << 20
 GROUP_ROWS = 50_000
 LAST = np.int64(2**63 - 1)
 
@@ -119,8 +119,7 @@ def _context_question(rows: pa.Table, answers: dict[int, bytes], task: Task, par
     hot = np.flatnonzero(counts > task.group_rows)
     sizes = found.last[hot] - found.first[hot] + 1
     at = np.repeat(found.first[hot] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    first = Hashes(units.data).of(units.starts[at], units.ends[at + task.length - 1])
-    second = Hashes(units.data, 1).of(units.starts[at], units.ends[at + task.length - 1])
+    first, second = (hash_spans(units.data, units.starts[at], units.ends[at + task.length - 1], k) for k in (0, 1))
     by = np.argsort(first, kind="stable")
     hot_order = np.repeat(order[hot], sizes)[by]
     at, first, second = at[by], first[by], second[by]
@@ -165,12 +164,13 @@ def _context_answer(bodies: list[bytes], task: Task, judge: Judge) -> list[bytes
         if task.words:
             starts, ends = anchors.words(data, borders)
         else:
-            starts, ends = np.arange(len(data)), np.arange(1, len(data) + 1)
+            starts = np.arange(len(data), dtype=np.int32)
+            ends = starts + 1
         texts_at = np.searchsorted(starts, borders)
-        begin = anchors._windows(texts_at, task.length)
+        begin = anchors.windows(texts_at, task.length)
         of = np.searchsorted(texts_at, begin, side="right") - 1
         spans = starts[begin], ends[begin + task.length - 1]
-        names, checks = Hashes(data).of(*spans), Hashes(data, 1).of(*spans)
+        names, checks = (hash_spans(data, *spans, k) for k in (0, 1))
         repeated, first = judge(names, checks, times[ranked][of])
         # the first occurrence of a context may hold first occurrences of windows, the others hold none
         place = np.empty(len(ranked), np.int64)
