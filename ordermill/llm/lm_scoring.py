@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.anchors import Hashes, Units, mix
+from ordermill.llm.anchors import Units, hash_spans, mix
 from ordermill.llm.chunks import (
     CHUNK_BYTES, ask, extended, finish, n_parts, pack, pack_arrays, pack_sorted, slices_by_part, text_buffer,
     unpack_arrays, unpack_sorted, with_answers,
@@ -31,7 +31,7 @@ from ordermill.session import keep
 
 LEARN, WEIGHTS, HELD_OUT = 0, 1, 2
 RESULT = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 BUCKETS = 48
 STEPS = 4  # of an octave
 LOW = -256  # shares below 2^-64 fall into the last step
@@ -56,7 +56,7 @@ class _Tokens:
         self.key = np.full(n, _END)
         inside = np.ones(n, bool)
         inside[ends] = False
-        self.key[inside] = Hashes(units.data).of(units.starts, units.ends)
+        self.key[inside] = hash_spans(units.data, units.starts, units.ends)
         self.text = np.repeat(np.arange(len(words)), self.counts)
         self.context = np.concatenate([[_BEGIN], self.key[:-1]]) if n else self.key
         self.context[ends - words] = _BEGIN
