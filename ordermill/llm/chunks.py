@@ -32,7 +32,7 @@ CHUNK_BYTES = 4 << 20
 CHUNK_SCHEMA = "chunk long, n_bytes long, rows binary"
 MESSAGE_SCHEMA = "part int, chunk long, body binary"
 _CODEC = pa.Codec("zstd", compression_level=1)
-_WRITE = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+_WRITE = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
 
 
 def pack(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK_BYTES, stable: bool = False, base: int = 0) -> DataFrame:
@@ -63,6 +63,17 @@ def byte_lengths(column: pa.Array) -> np.ndarray:
     return np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0)).astype(np.int64)
 
 
+def pieces(batch: pa.RecordBatch, text: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of a few megabytes of text; a longer text is a piece of its own."""
+    sizes = np.cumsum(byte_lengths(batch.column(text)))
+    first = 0
+    while first < batch.num_rows:
+        done = sizes[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(sizes, done + size, side="right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def _chunk(number: int | None, size: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches([b for b in held if b.num_rows])
     sink = pa.BufferOutputStream()

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.anchors import mix
-from ordermill.llm.chunks import extended
+from ordermill.llm.chunks import extended, pieces
 
 RESULT = ["lang_pred", "score", "rejected"]
 ORDER = 5
@@ -286,23 +286,12 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _pieces(batch, column):
+            for piece in pieces(batch, column):
                 yield _judge(piece, column, shared.value)
 
     return docs.mapInArrow(run, extended(docs.schema, "lang_pred string, score double, rejected boolean"))
 
 
-def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of a few megabytes of text."""
-    sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64))
-    first = 0
-    while first < batch.num_rows:
-        done = sizes[first - 1] if first else 0
-        end = max(first + 1, int(np.searchsorted(sizes, done + (2 << 20), side="right")))
-        yield batch.slice(first, end - first)
-        first = end
-
-
 def _judge(batch: pa.RecordBatch, column: int, model: Model | None) -> pa.RecordBatch:
     n = batch.num_rows
     names, score, rejected = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)

@@ -26,9 +26,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ordermill.llm.anchors import Units
-from ordermill.llm.chunks import extended, text_buffer
+from ordermill.llm.chunks import extended, finish, pack, pieces, text_buffer, unpack
 from ordermill.llm.components import components
 from ordermill.session import keep
 
@@ -61,28 +62,36 @@ def fingerprint(hashes: Iterator[int], n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
+def prints_of(rows: pa.Table, text: int, shingle: int) -> pa.Array:
+    """The fingerprint of each text, as a signed number."""
+    data, offsets = text_buffer(rows, text)
+    units = Units.of_words(_LOWER[data], offsets)
+    body = units.data.tobytes()
+    hashed = xxhash.xxh64_intdigest
+    found = []
+    for a, b in zip(units.texts[:-1].tolist(), units.texts[1:].tolist()):
+        width = min(shingle, b - a)
+        n = b - a - width + 1 if width else 0
+        if n:
+            begin, end = units.starts[a : a + n].tolist(), units.ends[a + width - 1 : b].tolist()
+            found.append(fingerprint((hashed(body[s:e], SEED) for s, e in zip(begin, end)), n))
+        else:
+            found.append(0)
+    return pa.array(found, pa.int64())
+
+
 def fingerprints(docs: DataFrame, text: str, shingle: int) -> DataFrame:
-    """``docs`` with ``__print``, the fingerprint as a long."""
+    """``docs`` without the text, with ``__print``, the fingerprint as a long."""
     column = docs.columns.index(text)
+    schema = extended(StructType([f for f in docs.schema.fields if f.name != text]), "__print long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(pa.Table.from_batches([batch]), column)
-            units = Units.of_words(_LOWER[data], offsets)
-            body = units.data.tobytes()
-            hashed = xxhash.xxh64_intdigest
-            found = []
-            for a, b in zip(units.texts[:-1].tolist(), units.texts[1:].tolist()):
-                width = min(shingle, b - a)
-                n = b - a - width + 1 if width else 0
-                if n:
-                    begin, end = units.starts[a : a + n].tolist(), units.ends[a + width - 1 : b].tolist()
-                    found.append(fingerprint((hashed(body[s:e], SEED) for s, e in zip(begin, end)), n))
-                else:
-                    found.append(0)
-            yield batch.append_column("__print", pa.array(found, pa.int64()))
-
-    return docs.mapInArrow(run, extended(docs.schema, "__print long"))
+            for piece in pieces(batch, column):
+                found = prints_of(pa.Table.from_batches([piece]), column, shingle)
+                yield piece.drop_columns([text]).append_column("__print", found)
+
+    return docs.mapInArrow(run, schema)
 
 
 def _links(prints: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
@@ -149,7 +158,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``docs`` with ``fingerprint`` (16 hex digits) and ``component_id``."""
     docs = docs.drop(*[c for c in RESULT if c not in (id, text)])
-    read = keep(fingerprints(docs, text, shingle).drop(text), "fingerprints")
+    read = keep(fingerprints(docs, text, shingle), "fingerprints")
     grouped = _component_ids(read, id, radius, bucket_rows)
     hexed = F.lower(F.lpad(F.hex("__print"), 16, "0")).alias("fingerprint")
     # texts do not travel: the fingerprints are joined to the other columns
@@ -176,13 +185,30 @@ def one_of_each(
     inner = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).alias("id"), F.col(text).alias("text")
     )
-    read = keep(
-        fingerprints(inner, "text", shingle).drop("text").withColumn("number", F.monotonically_increasing_id()), "fingerprints"
-    )
-    grouped = _component_ids(read, "id", radius, bucket_rows)
-    light = read.select("id", "number", "__print").join(grouped, "__print")
-    first = light.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("first"))
-    return read.join(first.select(F.col("first.number").alias("number")), "number", "left_semi").select("row.*")
+    chunks = pack(inner, "text", "simhash-chunks")
+
+    def read(number: int, rows: pa.Table, _: dict) -> pa.Table:
+        n = rows.num_rows
+        return pa.table({
+            "chunk": pa.array(np.full(n, number)), "place": pa.array(np.arange(n)), "id": rows.column("id"),
+            "__print": prints_of(rows, 2, shingle),
+        })
+
+    schema = StructType.fromDDL("chunk long, place long").add("id", inner.schema["id"].dataType)
+    light = keep(finish(chunks, read, extended(schema, "__print long")), "fingerprints")
+    grouped = _component_ids(light, "id", radius, bucket_rows)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "chunk", "place")).alias("first")
+    chosen = light.join(grouped, "__print").groupBy("root").agg(first).select("first.chunk", "first.place")
+    chosen = chosen.groupBy("chunk").agg(F.collect_list("place").alias("places"))  # at most the rows of a chunk
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, places in zip(batch.column(0), batch.column(1)):
+                kept = unpack(rows.as_py()).take(pa.array(sorted(places.as_py()), pa.int64()))
+                yield from kept.select(["row"]).to_batches()
+
+    kept = chunks.join(chosen, "chunk").select("rows", "places").mapInArrow(left, StructType().add("row", inner.schema["row"].dataType))
+    return kept.select("row.*")
 
 
 __all__ = ["fingerprint", "masks", "near_duplicates", "one_of_each"]
