@@ -1,8 +1,13 @@
-"""Load the eight raw tables from CSV files."""
+"""Load the eight raw tables from CSV files.
+
+One rule holds for every table and every size of file. A quote opens a quoted field only where a field begins. A
+record with fewer fields than columns has NULL for the rest; one with more fields fails the load, unless the extra
+ones are empty. All files of a folder must have the same header; columns are bound by its names.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +15,7 @@ from ordermill.plans.lake import Lake
 from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS
 from ordermill.session import at_the_same_time
 from ordermill.sources.copying import load_report
-from ordermill.sources.split_csv import read_split_csv
+from ordermill.sources.split_csv import EXTRA, read_split_csv
 
 # File name of each table, without prefix and ending.
 FILE_STEMS = {
@@ -27,8 +32,6 @@ FILE_STEMS = {
 UNPREFIXED = ("category_translation",)
 # Tables with free text, in which a quoted field may hold line breaks.
 FREE_TEXT = ("reviews",)
-# Spark reads a file with such fields in one task; a larger one is read in blocks.
-ONE_TASK_BYTES = 128 * 1024 * 1024
 # Texts that mean a missing value.
 MISSING_MARKERS = (
     "",
@@ -68,11 +71,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
-def _n_bytes(spark: SparkSession, path: str) -> int:
-    files, hadoop_path = _file_system(spark, path)
-    return files.getContentSummary(hadoop_path).getLength()
-
-
 def _typed(text: Column, kind: T.DataType) -> Column:
     value = F.when(~text.isin(*MISSING_MARKERS), text)
     if isinstance(kind, T.IntegerType):
@@ -81,6 +79,17 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return value.cast(kind)
 
 
+def _read_lines(reader: DataFrameReader, path: str, found: list[str]) -> DataFrame:
+    """Records of one line each, with ``EXTRA``. Spark compares the header of every file with ``found``."""
+    kept = "__whole_record"
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*found, kept]])
+    rows = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", kept).schema(fields).csv(path)
+    # Spark keeps the text of records that are too short or too long; read once more, the long ones have a field too many
+    schema = ", ".join(f"`{c}` string" for c in [*found, EXTRA])
+    again = F.from_csv(F.col(kept), F.lit(schema), {"quote": '"', "escape": '"'})
+    return rows.select(*[F.col(f"`{c}`") for c in found], again[EXTRA].alias(EXTRA))
+
+
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One raw table from a CSV file or a folder of them, bound by column name and typed.
 
@@ -88,11 +97,9 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     found = reader.csv(path).columns
-    if table in FREE_TEXT and _n_bytes(spark, path) > ONE_TASK_BYTES:
-        source = read_split_csv(spark, path, found)
-    else:
-        text_columns = T.StructType([T.StructField(c, T.StringType()) for c in found])
-        source = reader.option("multiLine", table in FREE_TEXT).schema(text_columns).csv(path)
+    source = read_split_csv(spark, path, found) if table in FREE_TEXT else _read_lines(reader, path, found)
+    too_long = F.raise_error(F.concat(F.lit(f"{path}: a record has more than {len(found)} fields: "), F.concat_ws(",", found[0], EXTRA)))
+    source = source.filter(F.when(F.col(EXTRA).isNull(), True).otherwise(too_long.cast("boolean")))
     columns = []
     for name, kind in RAW_COLUMNS[table].items():
         given = name if name in found else OTHER_SPELLINGS.get(name, name)

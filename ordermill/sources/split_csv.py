@@ -1,21 +1,48 @@
-"""Read a CSV file whose quoted fields hold line breaks, in parallel.
+"""Read CSV files whose quoted fields hold line breaks, in parallel.
 
-Spark reads such a file in one task, because a task that starts in the middle cannot tell whether it
-stands inside a quoted field. The number of quotes before it tells: an odd number means inside. So
-the quotes of each file block are counted first; then every block finds its own records, and the
-lines with which a block begins in the middle of a record go to the last record of the block before.
+Spark reads such a file in one task, because a task that starts in the middle cannot tell whether it stands inside a
+quoted field. Here every line is asked what it does to that state. A quote opens a field only where a field begins;
+elsewhere in an unquoted field it is text. So a line either ends in a state that does not depend on where it began, or it
+keeps the state, or turns it round. The effects of the lines of a file block, and then of the blocks of a file, are
+chained with window functions of bounded groups: the lines of a block, the blocks of a file. Then every block knows its
+records, and the lines with which a block begins in the middle of a record go to the last record of the block before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _BLOCK = ["file", "block"]
+# A line that begins outside quotes and ends inside: whole fields with their commas, then a quoted field without end.
+# After a closing quote the rest of a field is text up to the comma.
+_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
+EXTRA = "__extra_field"
+
+
+def _state_before(begin: Column, window: Window) -> Column:
+    """State before each row of ``window``'s order, if the group begins in state ``begin`` (0 outside, 1 inside).
+
+    Rows have ``fixed``, the state after them if it does not depend on the one before, and ``turns`` (0 or 1).
+    """
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("turns").over(earlier), F.lit(0))
+    known = F.when(
+        F.col("fixed").isNotNull(),
+        F.struct(F.col("fixed").alias("state"), F.sum("turns").over(window.rowsBetween(Window.unboundedPreceding, 0)).alias("turned")),
+    )
+    last = F.last(known, ignorenulls=True).over(earlier)
+    return F.when(last.isNull(), (begin + turned) % 2).otherwise((last["state"] + turned - last["turned"]) % 2)
 
 
 def read_split_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text, in the order of the file; the first record of each file is its header."""
+    """All columns as text and ``EXTRA``, what a record has beyond them (NULL if nothing).
+
+    A record with fewer fields has NULL for the rest. The first record of each file is its header and must name ``columns``
+    in this order.
+    """
+    inside = F.concat(F.lit('"'), "value").rlike(_OPEN).cast("int")
+    outside = F.col("value").rlike(_OPEN).cast("int")
     # "\n" alone, so that "\r\n" inside a field stays as it is
     lines = (
         spark.read.option("lineSep", "\n")
@@ -25,29 +52,36 @@ def read_split_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFr
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
-            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+            F.when(outside == inside, outside).alias("fixed"),
+            F.when((outside == 1) & (inside == 0), 1).otherwise(0).alias("turns"),
         )
     )
-    # one row per block of the file
-    in_file = Window.partitionBy("file").orderBy("block")
-    before = F.coalesce(F.sum("quotes").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # what a whole block does to the state: one row per block
+    in_block = Window.partitionBy(*_BLOCK).orderBy("line")
+    so_far = F.sum("turns").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    last_fixed = F.max(F.when(F.col("fixed").isNotNull(), F.struct("line", "fixed", "so_far")))
     blocks = (
-        lines.groupBy(*_BLOCK)
-        .agg(F.sum("quotes").alias("quotes"))
+        lines.withColumn("so_far", so_far)
+        .groupBy(*_BLOCK)
+        .agg(last_fixed.alias("last"), F.sum("turns").alias("all_turns"))
         .select(
             *_BLOCK,
-            before.alias("quotes_before"),
-            F.lead("block").over(in_file).alias("next_block"),
-            (F.row_number().over(in_file) == 1).alias("is_first_block"),
+            ((F.col("last.fixed") + F.col("all_turns") - F.col("last.so_far")) % 2).alias("fixed"),
+            F.when(F.col("last").isNull(), F.col("all_turns") % 2).otherwise(0).alias("turns"),
         )
     )
+    in_file = Window.partitionBy("file").orderBy("block")
+    blocks = blocks.select(
+        *_BLOCK,
+        _state_before(F.lit(0), in_file).alias("begins"),
+        F.lead("block").over(in_file).alias("next_block"),
+        (F.row_number().over(in_file) == 1).alias("is_first_block"),
+    )
 
-    in_block = Window.partitionBy(*_BLOCK).orderBy("line")
-    so_far = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     record = F.sum(F.col("starts").cast("int")).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
     parts = (
         lines.join(blocks, _BLOCK)
-        .withColumn("starts", (F.col("quotes_before") + so_far) % 2 == 0)
+        .withColumn("starts", _state_before(F.col("begins"), in_block) == 0)
         .withColumn("record", record)
         # a block is read as a whole by one task anyway, so the lines of a record are few
         .groupBy(*_BLOCK, "record", "next_block", "is_first_block")
@@ -65,13 +99,22 @@ def read_split_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFr
         .otherwise(F.col("text"))
         .alias("rest"),
     )
-    is_header = F.col("is_first_block") & (F.col("record") == 1)
+    names = [*columns, EXTRA]
+    schema = ", ".join(f"`{c}` string" for c in names)
+    # PERMISSIVE fills up short records; what is too long shows in EXTRA
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
     records = (
-        parts.filter((F.col("record") > 0) & ~is_header)
+        parts.filter(F.col("record") > 0)
         .join(ends, ["file", "next_block", "is_last"], "left")
-        .select(F.rtrim(F.concat_ws("\n", "text", "rest"), F.lit("\r")).alias("text"))
+        .select(
+            "file",
+            (F.col("is_first_block") & (F.col("record") == 1)).alias("is_header"),
+            F.rtrim(F.concat_ws("\n", "text", "rest"), F.lit("\r")).alias("text"),
+        )
         .filter(F.col("text") != "")
+        .select("file", "is_header", F.from_csv("text", F.lit(schema), options).alias("r"))
     )
-    fields = ", ".join(f"`{c}` string" for c in columns)
-    options = {"quote": '"', "escape": '"', "mode": "FAILFAST", "maxCharsPerColumn": "-1"}
-    return records.select(F.from_csv("text", F.lit(fields), options).alias("r")).select("r.*")
+    named = F.array(*[F.col("r")[c] for c in names]).eqNullSafe(F.array(*[F.lit(c) for c in columns], F.lit(None)))
+    refused = F.raise_error(F.concat(F.lit(f"header other than {','.join(columns)} in "), F.col("file")))
+    is_record = F.when(~F.col("is_header"), True).when(named, False).otherwise(refused.cast("boolean"))
+    return records.filter(is_record).select("r.*")

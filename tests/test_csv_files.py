@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import random
+from contextlib import contextmanager
 from decimal import Decimal
 
 import pytest
@@ -104,26 +105,81 @@ def test_split_reader_equals_one_task(spark, tmp_path, line_end, block):
     folder.mkdir()
     write_csv(folder / "a.csv", REVIEW_HEADER, rows[:70], lineterminator=line_end)
     write_csv(folder / "b.csv", REVIEW_HEADER, rows[70:], lineterminator=line_end)
-    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
+    with _blocks_of(spark, str(block)):
         got = split_csv.read_split_csv(spark, str(folder), REVIEW_HEADER).collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    assert all(r[split_csv.EXTRA] is None for r in got)
     found = {r["review_id"]: [r[c] or "" for c in REVIEW_HEADER] for r in got}
     assert len(got) == len(rows)
     assert found == {r[0]: [str(v) for v in r] for r in rows}
 
 
-def test_large_free_text_is_read_in_blocks(spark, tmp_path, monkeypatch):
+BAD_RECORDS = {
+    "short": ("r9,o9,5", ("o9", 5, None, None)),
+    "stray quote": ('r9,o9,5,screen 5" big,one "word",2018-01-01 00:00:00,2018-01-02 00:00:00', ("o9", 5, 'screen 5" big', 'one "word"')),
+    "empty extra": ("r9,o9,5,t,m,2018-01-01 00:00:00,2018-01-02 00:00:00,", ("o9", 5, "t", "m")),
+    "text behind a quote": ('r9,o9,5,"",m,2018-01-01 00:00:00,2018-01-02 00:00:00', ("o9", 5, None, "m")),
+}
+
+
+@pytest.mark.parametrize("block", ["150", "1g"])
+@pytest.mark.parametrize("case", list(BAD_RECORDS))
+def test_odd_records_are_read_alike_at_any_size(spark, tmp_path, case, block):
+    line, expect = BAD_RECORDS[case]
     path = tmp_path / "r.csv"
-    write_csv(path, REVIEW_HEADER, [review(i, "t", f"line one\nline {i}") for i in range(50)])
-    one_task = csv_files.read_csv(spark, str(path), "reviews").collect()
-    monkeypatch.setattr(csv_files, "ONE_TASK_BYTES", 10)
-    in_blocks = csv_files.read_csv(spark, str(path), "reviews").collect()
-    assert sorted(one_task) == sorted(in_blocks) and len(one_task) == 50
+    write_csv(path, REVIEW_HEADER, [review(i, "a title", f"line one\nline {i}") for i in range(12)])
+    with open(path, "a", encoding="utf-8") as f:
+        f.write(line + "\n")
+        csv.writer(f).writerows([review(100 + i, "t", "x\n,y") for i in range(12)])
+    with _blocks_of(spark, block):
+        rows = csv_files.read_csv(spark, str(path), "reviews").collect()
+    assert len(rows) == 25
+    odd = next(r for r in rows if r["review_id"] == "r9" and r["order_id"] == "o9" and r["review_comment_message"] != "line one\nline 9")
+    assert (odd["order_id"], odd["review_score"], odd["review_comment_title"], odd["review_comment_message"]) == expect
+    assert sum(r["review_comment_message"] == "x\n,y" for r in rows) == 12
+
+
+@pytest.mark.parametrize("table,line", [("reviews", "r9,o9,5,t,m,,,more"), ("sellers", "s1,01037,rio,RJ,more"), ("sellers", 's1,01037,rio,RJ,"a,b",c')])
+def test_a_record_with_too_many_fields_fails_the_load(spark, tmp_path, table, line):
+    path = tmp_path / "r.csv"
+    for block in ("150", "1g"):
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(",".join(RAW_COLUMNS[table]) + "\n" + line + "\n")
+        with _blocks_of(spark, block), pytest.raises(Exception, match="has more than"):
+            csv_files.read_csv(spark, str(path), table).collect()
+
+
+def test_short_and_quoted_records_of_plain_tables(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text('seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01037\ns2,02,"rio, centro",RJ\ns3,03,5" inch,SP,\n')
+    rows = {r["seller_id"]: tuple(r)[1:] for r in csv_files.read_csv(spark, str(path), "sellers").collect()}
+    assert rows == {"s1": ("01037", None, None), "s2": ("02", "rio, centro", "RJ"), "s3": ("03", '5" inch', "SP")}
+
+
+@pytest.mark.parametrize("table", ["sellers", "reviews"])
+def test_a_folder_with_other_headers_is_refused(spark, tmp_path, table):
+    columns = list(RAW_COLUMNS[table])
+    folder = tmp_path / "files"
+    folder.mkdir()
+    cells = {c: "1" for c in columns} | ({c: "2018-01-01 00:00:00" for c in columns if "date" in c or "timestamp" in c})
+    write_csv(folder / "a.csv", columns, [[cells[c] for c in columns]])
+    write_csv(folder / "b.csv", columns, [[cells[c] for c in columns]])
+    assert csv_files.read_csv(spark, str(folder), table).count() == 2
+    turned = columns[::-1]
+    write_csv(folder / "c.csv", turned, [[cells[c] for c in turned]])
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_files.read_csv(spark, str(folder), table).collect()
+
+
+@contextmanager
+def _blocks_of(spark, size):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_copy(spark, tmp_path):
