@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.operators import gold, marts, quality, silver
 from ordermill.plans.lake import Lake
@@ -14,6 +15,8 @@ from ordermill.session import at_the_same_time
 from ordermill.sources.csv_files import load_raw
 
 LAYERS = ("bronze", "silver", "gold")
+# Fewest reviews of a category in the stored mart.
+MIN_COUNT = 100
 
 
 def _write_all(lake: Lake, layer: str, tables: Mapping[str, Callable[[], DataFrame]]) -> None:
@@ -62,6 +65,9 @@ def build_gold(lake: Lake, as_of: str | datetime | None = None) -> None:
 
 def run_layer(lake: Lake, layer: str, as_of: str | datetime | None = None) -> None:
     """Build one layer from the stored layers below it."""
+    # marts of the tables before would be out of date
+    for mart in MARTS if layer != "bronze" else ():
+        lake.drop("marts", mart)
     if layer == "bronze":
         build_bronze(lake)
     elif layer == "silver":
@@ -72,7 +78,7 @@ def run_layer(lake: Lake, layer: str, as_of: str | datetime | None = None) -> No
         raise ValueError(f"no layer {layer!r}, only {', '.join(LAYERS)}")
 
 
-def live_mart(lake: Lake, key: str, min_count: int = 100) -> DataFrame:
+def live_mart(lake: Lake, key: str, min_count: int = MIN_COUNT) -> DataFrame:
     """A mart computed from the stored silver and gold tables."""
     if key == "kpi_overview":
         return marts.kpi_overview(lake.silver("silver_orders"))
@@ -91,7 +97,7 @@ def live_mart(lake: Lake, key: str, min_count: int = 100) -> DataFrame:
     if key == "reviews_dist":
         return marts.reviews_dist(lake.bronze("bronze_reviews"))
     if key == "reviews_by_category":
-            return marts.reviews_by_category(
+        return marts.reviews_by_category(
             lake.bronze("bronze_reviews"),
             lake.silver("silver_orders"),
             lake.bronze("bronze_order_items"),
@@ -101,16 +107,20 @@ def live_mart(lake: Lake, key: str, min_count: int = 100) -> DataFrame:
     raise KeyError(f"no mart {key!r}, only {', '.join(MARTS)}")
 
 
-def export_marts(lake: Lake, min_count: int = 100) -> None:
+def export_marts(lake: Lake) -> None:
     """Store all nine marts. Each is a small report, so it is written as one file."""
-    _write_all(lake, "marts", {k: lambda k=k: live_mart(lake, k, min_count).coalesce(1) for k in MARTS})
+    _write_all(lake, "marts", {k: lambda k=k: live_mart(lake, k).coalesce(1) for k in MARTS})
 
 
-def get_mart(lake: Lake, key: str, min_count: int = 100) -> DataFrame:
-    """The stored mart if there is one, else the live query. Errors are raised, never turned into empty results."""
+def get_mart(lake: Lake, key: str, min_count: int = MIN_COUNT) -> DataFrame:
+    """The stored mart if there is one, else the live query. Errors are raised, never turned into empty results.
+
+    Marts are stored for ``MIN_COUNT``; any other limit is computed.
+    """
     if key not in MARTS:
         raise KeyError(f"no mart {key!r}, only {', '.join(MARTS)}")
-    return lake.read("marts", key) if lake.exists("marts", key) else live_mart(lake, key, min_count)
+    stored = lake.exists("marts", key) and (min_count == MIN_COUNT or key != "reviews_by_category")
+    return lake.read("marts", key) if stored else live_mart(lake, key, min_count)
 
 
 def run_all(
@@ -121,14 +131,21 @@ def run_all(
     stem_prefix: str = "",
     min_orders: int = quality.MIN_ORDERS,
 ) -> DataFrame:
-    """Load, build all layers, then check the raw tables; returns the check report or raises QualityError."""
+    """Load, build all layers, check the raw tables, store the marts; returns the check report or raises QualityError.
+
+    "Now" is read once, so that all layers see the same. A failed check leaves the lake without stored marts.
+    """
     lake = Lake(spark, lake_root)
+    if as_of is None:
+        as_of = spark.range(1).select(F.localtimestamp()).first()[0]
     load_raw(spark, csv_root, lake, stem_prefix).collect()
     for layer in LAYERS:
         run_layer(lake, layer, as_of)
-    report = quality.quality_report(
+    checked = quality.quality_report(
         {t: lake.raw(t) for t in ("orders", "order_items", "customers", "products", "payments", "reviews")},
         min_orders,
     )
+    report = spark.createDataFrame(checked.collect(), checked.schema)  # twelve rows
     quality.enforce(report)
+    export_marts(lake)
     return report

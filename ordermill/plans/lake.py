@@ -40,6 +40,15 @@ class Lake:
         done = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table), "_SUCCESS")
         return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
 
+    def drop(self, layer: str, table: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def tables(self) -> list[tuple[str, str]]:
+        """(layer, table) of every table that a lake can hold."""
+        by_layer = {"raw": RAW_TABLES, "silver": SILVER_TABLES, "gold": GOLD_TABLES, "marts": MARTS}
+        return [(layer, table) for layer, tables in by_layer.items() for table in tables]
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 

@@ -9,23 +9,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.plans.lake import Lake
 from ordermill.session import at_the_same_time
 
 REPORT = "table_name string, status string, n_rows bigint"
 
 
-def load_report(tables: Mapping[str, DataFrame | None], done: str = "loaded") -> DataFrame:
-    """table_name, status, n_rows: one row per table; a table that is None was skipped."""
-    spark = next(df.sparkSession for df in tables.values() if df is not None)
-    parts = [
-        spark.createDataFrame([(name, "skipped", None)], REPORT)
-        if df is None
-        else df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), F.lit(done).alias("status"), "n_rows"
-        )
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def load_report(tables: Mapping[str, DataFrame | int | None], done: str = "loaded") -> DataFrame:
+    """table_name, status, n_rows: one row per table, given as rows or as their number; None was skipped."""
+    spark = SparkSession.active()
+
+    def row(name: str, table: DataFrame | int | None) -> DataFrame:
+        if isinstance(table, DataFrame):
+            counted = table.agg(F.count(F.lit(1)).alias("n_rows"))
+            return counted.select(F.lit(name).alias("table_name"), F.lit(done).alias("status"), "n_rows")
+        return spark.createDataFrame([(name, "skipped" if table is None else done, table)], REPORT)
+
+    parts = [row(name, table) for name, table in tables.items()]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], REPORT)
 
 
 def copy_tables(tables: Mapping[str, DataFrame | None], target: str) -> DataFrame:
@@ -42,6 +43,12 @@ def copy_tables(tables: Mapping[str, DataFrame | None], target: str) -> DataFram
     return _copy(tables, write)
 
 
+def copy_lake(source: Lake, target: Lake) -> DataFrame:
+    """Copy every table that ``source`` has; the report names those that it has not as skipped."""
+    tables = {f"{layer}/{t}": source.read(layer, t) if source.exists(layer, t) else None for layer, t in source.tables()}
+    return copy_tables(tables, target.root)
+
+
 def copy_tables_jdbc(
     tables: Mapping[str, DataFrame | None],
     url: str,
@@ -55,12 +62,14 @@ def copy_tables_jdbc(
     ``properties``.
     """
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str, df: DataFrame) -> int:
         table = f"{schema}.{name}"
         df.write.option("truncate", True).option("batchsize", batch_rows).jdbc(
             url, table, mode="overwrite", properties=dict(properties)
         )
-        return df.sparkSession.read.jdbc(url, table, properties=dict(properties))
+        # the database counts; the rows do not come back
+        counted = f"(SELECT count(*) AS n_rows FROM {table}) counted"
+        return df.sparkSession.read.jdbc(url, counted, properties=dict(properties)).first()[0]
 
     return _copy(tables, write)
 
@@ -81,11 +90,11 @@ def read_jdbc(
 
 
 def _copy(
-    tables: Mapping[str, DataFrame | None], write: Callable[[str, DataFrame], DataFrame]
+    tables: Mapping[str, DataFrame | None], write: Callable[[str, DataFrame], DataFrame | int]
 ) -> DataFrame:
     seconds: dict[str, float] = {}
 
-    def copy(name: str) -> DataFrame | None:
+    def copy(name: str) -> DataFrame | int | None:
         start = time.monotonic()
         df = tables[name]
         copied = None if df is None else write(name, df)

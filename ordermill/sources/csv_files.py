@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.plans.lake import Lake
-from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS
+from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS, raw_schema
 from ordermill.session import at_the_same_time
 from ordermill.sources.copying import load_report
 from ordermill.sources.split_csv import EXTRA, read_split_csv
@@ -112,17 +112,19 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 def load_raw(spark: SparkSession, csv_root: str, lake: Lake, stem_prefix: str = "") -> DataFrame:
     """Replace every raw table whose file is there; report table_name, status, n_rows.
 
-    A missing file is reported as skipped and leaves its table as it is.
+    A missing file is reported as skipped and leaves its table as it is. A table that was never loaded is made without
+    rows, so that everything that reads it still runs.
     """
 
     def load(table: str) -> DataFrame | None:
         path = file_of(csv_root, table, stem_prefix)
         if not _exists(spark, path):
+            if not lake.exists("raw", table):
+                lake.write("raw", table, spark.createDataFrame([], raw_schema(table)))
             return None
         rows = read_csv(spark, path, table).withColumn("ingested_at", F.localtimestamp())
         return lake.write("raw", table, rows)
 
-    loaded = at_the_same_time(load, RAW_COLUMNS)
-    if all(df is None for df in loaded.values()):
+    if not any(_exists(spark, file_of(csv_root, table, stem_prefix)) for table in RAW_COLUMNS):
         raise FileNotFoundError(f"no source files below {csv_root}")
-    return load_report(loaded)
+    return load_report(at_the_same_time(load, RAW_COLUMNS))

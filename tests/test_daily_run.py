@@ -14,6 +14,7 @@ from ordermill.plans import daily_run
 from ordermill.plans.lake import Lake
 from ordermill.plans.star_queries import AS_OF, StarModels
 from ordermill.schemas import BRONZE_TABLES, GOLD_TABLES, MARTS, RAW_COLUMNS, SILVER_TABLES
+from ordermill.sources.copying import copy_lake
 from ordermill.sources.csv_files import FILE_STEMS
 from ordermill.sources.star import StarRaw
 
@@ -63,10 +64,10 @@ def test_gold_products_are_stored_by_revenue(lake):
 
 
 def test_marts(lake):
-    assert not lake.exists("marts", "kpi_overview")
-    live = {k: daily_run.get_mart(lake, k, min_count=10) for k in MARTS}
+    live = {k: daily_run.live_mart(lake, k) for k in MARTS}
     live = {k: (df.columns, df.collect()) for k, df in live.items()}
-    daily_run.export_marts(lake, min_count=10)
+    few, many = (daily_run.get_mart(lake, "reviews_by_category", n).count() for n in (100, 1))
+    assert few < many
     for key, (columns, found) in live.items():
         assert lake.exists("marts", key)
         stored = daily_run.get_mart(lake, key)
@@ -168,3 +169,51 @@ def test_no_join_forms_all_pairs(spark, monkeypatch):
     models = StarModels(spark, SF_DIR)
     for df in (models.products(), models.review_scores(), models.customers()):
         assert "CartesianProduct" not in plan_of(df) and "BroadcastNestedLoopJoin" not in plan_of(df)
+
+
+def test_a_run_goes_on_without_a_file_and_refreshes_the_marts(spark, tmp_path):
+    raw = StarRaw(spark, SF_DIR)
+
+    def write(rate):
+        for table, stem in FILE_STEMS.items():
+            if table in ("category_translation", "sellers"):
+                continue
+            df = raw[table].drop("ingested_at")
+            if table == "orders":
+                df = df.withColumn("order_status", F.lower(F.trim("order_status"))).filter(f"order_id % {rate} = 0")
+            if table in ("order_items", "payments", "reviews"):
+                df = df.filter(f"order_id % {rate} = 0")
+            if table == "payments":
+                df = df.withColumn("payment_type", F.lower(F.trim("payment_type")))
+            if table == "reviews":
+                df = df.filter("review_score <= 5")
+            df = df.select([F.col(c).cast("string") for c in RAW_COLUMNS[table]])
+            df.write.mode("overwrite").option("header", True).csv(f"{tmp_path}/csv/{stem}.csv")
+
+    lake = Lake(spark, f"{tmp_path}/lake")
+    counts = []
+    for rate in (2, 5):
+        write(rate)
+        report = daily_run.run_all(spark, f"{tmp_path}/csv", f"{tmp_path}/lake", min_orders=10)
+        assert report.count() == 12
+        assert lake.exists("marts", "kpi_overview")
+        counts.append(daily_run.get_mart(lake, "kpi_overview").first()["n_orders"])
+        expect = raw["orders"].filter(f"order_id % {rate} = 0 AND lower(trim(order_status)) <> 'canceled'").count()
+        assert counts[-1] == expect
+    assert lake.raw("category_translation").count() == 0
+    # a rebuilt layer leaves no marts of the tables before
+    daily_run.run_layer(lake, "gold", AS_OF)
+    assert not any(lake.exists("marts", k) for k in MARTS)
+
+    other = Lake(spark, f"{tmp_path}/other")
+    copied = {r["table_name"]: r["status"] for r in copy_lake(lake, other).collect()}
+    assert copied["raw/orders"] == copied["gold/gold_customer_rfm"] == "copied" and copied["marts/kpi_overview"] == "skipped"
+    assert other.raw("orders").count() == lake.raw("orders").count()
+    none = copy_lake(Lake(spark, f"{tmp_path}/nothing"), other).collect()
+    assert {r["status"] for r in none} == {"skipped"}
+
+
+def test_no_expand_in_the_overview(spark):
+    plan = StarModels(spark, SF_DIR)
+    frame = marts.kpi_overview(plan.sold_orders, plan.orders(items=False, payments=False))
+    assert "Expand" not in frame._jdf.queryExecution().executedPlan().toString()
