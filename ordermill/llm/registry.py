@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import bpe, decontamination, html_extraction, language_id, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
+from ordermill.llm.oracles import ORACLE
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,4 +112,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
