@@ -1,10 +1,9 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-The right sides met here are grouped by the join key, so they have one row per key; the left side
-may hold any number of rows per key. A plain shuffle join sends a hot key to a single task, and the
-adaptive planner cannot split it, because the grouped side brings its own partitioning. So rows of
-hot keys take a branch of their own: the few matching right rows are broadcast and the left rows
-stay where they are. Looking for hot keys reads the key column and shuffles next to nothing.
+The right sides met here are grouped by the join key, so they have one row per key; the left side may hold any number of
+rows per key. A plain shuffle join sends a hot key to a single task, and the adaptive planner cannot split it, because
+the grouped side brings its own partitioning. So rows of hot keys take a branch of their own: the matching right
+rows are broadcast and the left rows stay where they are. Looking for hot keys counts hashes of the key column. A left side that has one row per key itself needs none of this and is joined plainly.
 """
 
 from __future__ import annotations
@@ -14,10 +13,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot with more rows than this and a larger share of all rows than that. So there are fewer
-# than 1 / HOT_SHARE hot keys, which bounds what is collected and broadcast.
+from ordermill.session import keep
+
+# A key is hot with more rows than this.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
+# Right rows of so many hot keys are broadcast. With more, no key holds much of the rows and the plain join is even.
+BROADCAST_KEYS = 100_000
 # A plan that scans no more than this fits one task, whatever its keys look like.
 SMALL_SCAN_BYTES = 64 * 1024 * 1024
 
@@ -34,18 +35,15 @@ def is_small(df: DataFrame) -> bool:
     return scan_bytes(df) <= SMALL_SCAN_BYTES
 
 
-def hot_keys(df: DataFrame, key: str) -> list[str]:
-    """Keys that are hot in ``df``.
+def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """Hashes (column ``hot``) of the keys that are hot in ``df``, written to the scratch folder; None without any.
 
-    The frequent items of a column hold every value with at least the given share, and others too, so
-    the candidates are counted. Which keys are found decides only how evenly the work is spread.
+    Keys are counted by hash, so one number per key and task is shuffled. A key that shares a hot hash takes the branch of
+    the hot keys too, which changes nothing but its way.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    found = keys.freqItems([key], HOT_SHARE).first()
-    if not found or not found[0]:
-        return []
-    counted = keys.filter(F.col(key).isin(found[0])).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return [r[key] for r in counted.filter(F.col("n_rows") > HOT_ROWS).collect()]
+    counted = df.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("hot")).agg(F.count(F.lit(1)).alias("n_rows"))
+    hot = keep(counted.filter(F.col("n_rows") > HOT_ROWS).select("hot"), "hot_keys")
+    return hot if 0 < hot.count() <= BROADCAST_KEYS else None
 
 
 def join_hot_apart(left: DataFrame, rights: Sequence[DataFrame], key: str, build: Build) -> DataFrame:
@@ -53,21 +51,20 @@ def join_hot_apart(left: DataFrame, rights: Sequence[DataFrame], key: str, build
 
     ``build`` joins ``left`` with each of ``rights`` on ``key``; every right side has one row per key.
     """
-    hot = [] if is_small(left) else hot_keys(left, key)
-    if not hot:
+    hot = None if is_small(left) else hot_keys(left, key)
+    if hot is None:
         return build(left, rights)
-    is_hot = F.col(key).isin(hot)
-    most = build(left.filter(F.col(key).isNull() | ~is_hot), rights)
-    few = build(left.filter(is_hot), [F.broadcast(r.filter(is_hot)) for r in rights])
-    return most.unionByName(few)
 
+    def chosen(rows: DataFrame, how: str) -> DataFrame:
+        return rows.join(F.broadcast(hot), F.xxhash64(rows[key]) == hot["hot"], how)
 
-def left_lookup(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
-    """``left`` with the columns of each right side, NULL where the key is missing there."""
+    most = build(chosen(left, "left_anti"), rights)
+    few = build(chosen(left, "left_semi"), [F.broadcast(chosen(r, "left_semi")) for r in rights])
+    return most.unionByName(few)
 
-    def build(rows: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
-        for side in sides:
-            rows = rows.join(side, key, "left")
-        return rows
 
-    return join_hot_apart(left, rights, key, build)
+def left_lookup(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
+    """``left``, which has one row per key like the right sides, with their columns, NULL where the key is missing."""
+    for side in rights:
+        left = left.join(side, key, "left")
+    return left

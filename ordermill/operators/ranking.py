@@ -1,9 +1,13 @@
 """Exact NTILE and RANK over a whole table, or over groups that may be huge.
 
-A window without partitions, or with one huge partition, runs in a single task. Here a small sample
-of the sort keys gives cut points, which divide the rows into buckets of bounded size. Rows per
-bucket, counted in one pass, tell where each bucket starts in the overall order. The cut points only
-decide how even the buckets are; the results are exact for any cut points.
+A window without partitions, or with one huge partition, runs in a single task. Here no task orders more rows than fit a
+bucket, however many there are, and the plan is the same for any size.
+
+NTILE needs the last row of each tile. Sampled cut points divide the rows into buckets, one count per bucket tells in
+which one the row lies, and a bucket that is still too large is cut again. Only the last buckets are sorted.
+
+RANK depends on the value alone, so values are counted first, which takes care of values that very many rows share. The
+distinct values are dealt out by ranges; a running sum within each range and one over the ranges give the ranks.
 
 Both operators read their input several times, so callers pass a stored table.
 """
@@ -18,25 +22,18 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A table with no more rows than this is ordered in one go.
+from ordermill.session import keep
+
+# No task orders more rows than about this many.
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 2_048
-SAMPLES_PER_BUCKET = 32
+# Cut points of one round; more rows take more rounds.
+CUTS = 2_048
+SAMPLES_PER_CUT = 32
 
 _VALUE = "decimal(38,2)"
 
 
-def _n_buckets(n_rows: int, rows_per_bucket: int) -> int:
-    return max(1, min(MAX_BUCKETS, -(-n_rows // rows_per_bucket)))
-
-
-def _sample(rows: DataFrame, n_rows: int, n_buckets: int) -> DataFrame:
-    """About SAMPLES_PER_BUCKET rows for each bucket: a bounded number however large the table is."""
-    return rows.sample(min(1.0, SAMPLES_PER_BUCKET * n_buckets / n_rows), seed=17)
-
-
 def _cuts(sample: list[tuple], n_buckets: int) -> list[tuple]:
     """Up to ``n_buckets - 1`` different keys, evenly spread over the sampled ones."""
     ordered = sorted(sample)
@@ -102,75 +99,101 @@ def add_ntiles(
 ) -> DataFrame:
     """Add an integer NTILE column for each entry ``name: (value column, descending)`` of ``scores``.
 
-    Ties are ordered by ``id_column``, which must be unique. Only the buckets in which a tile ends
-    are sorted, to find the last row of the tile; then every row compares its key with those few
-    rows. The table itself is neither shuffled nor sorted.
+    Ties are ordered by ``id_column``, which must be unique. Only the rows around the end of a tile are sorted, to find
+    the last row of the tile; then every row compares its key with those few rows. The table itself is neither shuffled
+    nor sorted.
     """
     names = list(scores)
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     n_rows = df.count()
-    if n_rows == 0:
-        return df.select("*", *[F.lit(None).cast("int").alias(name) for name in names])
-
     keys = [_tile_key(value, descending, id_column) for value, descending in scores.values()]
     null_after = [0 if descending else 1 for _, descending in scores.values()]
     # one row per score and input row, so that one job serves all scores
     tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("score"), k.alias("key")) for i, k in enumerate(keys)])))
 
-    n_buckets = _n_buckets(n_rows, rows_per_bucket)
-    cuts: list[list[tuple]] = [[] for _ in names]
-    if n_buckets > 1:
-        sample = _sample(tall, n_rows, n_buckets).collect()
-        cuts = [_cuts([_as_tuple(r["key"]) for r in sample if r["score"] == i], n_buckets) for i in range(len(names))]
-        most = max(len(c) for c in cuts)
-        padded = [
-            [_as_json(c, null_after[i]) for c in cuts[i]] + [None] * ((1 << most.bit_length()) - len(cuts[i]))
-            for i in range(len(names))
-        ]
-        all_cuts = _literal(padded, f"array<array<{_TILE_KEY}>>")
-        tall = tall.withColumn("bucket", _cuts_below(F.get(all_cuts, F.col("score")), most, F.col("key")))
-        counted = {
-            (r["score"], r["bucket"]): r["n"]
-            for r in tall.groupBy("score", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-    else:
-        tall = tall.withColumn("bucket", F.lit(0))
-        counted = {(i, 0): n_rows for i in range(len(names))}
-
-    # the last row of a tile, as its row number within its bucket
-    wanted = []
-    for i in range(len(names)):
-        for end in tile_ends(n_rows, tiles):
-            before = 0
-            for bucket in range(len(cuts[i]) + 1):
-                here = counted.get((i, bucket), 0)
-                if before < end <= before + here:
-                    wanted.append((i, bucket, end - before))
-                before += here
+    ends = sorted({e for e in tile_ends(n_rows, tiles) if e > 0})
+    spans = [_Span(i, end, n_rows) for i in range(len(names)) for end in ends]
+    whole: set[tuple] = set()  # rows that no key tells apart, if ids should repeat after all
+    while wide := sorted({s.bounds for s in spans if s.size > rows_per_bucket} - whole, key=repr):
+        _narrow(tall, spans, wide, null_after)
+        whole |= {s.bounds for s in spans} & set(wide)
 
     last_rows = []
-    if wanted:
-        in_buckets = F.struct("score", "bucket").isin(*[F.struct(F.lit(i), F.lit(b)) for i, b in {w[:2] for w in wanted}])
-        on_row = reduce(
-            or_,
-            [(F.col("score") == i) & (F.col("bucket") == b) & (F.col("row") == n) for i, b, n in set(wanted)],
-        )
-        order = Window.partitionBy("score", "bucket").orderBy("key")
-        last_rows = (
-            tall.filter(in_buckets).withColumn("row", F.row_number().over(order)).filter(on_row).collect()
-        )
+    if spans:
+        bounds = sorted({s.bounds for s in spans}, key=repr)
+        order = Window.partitionBy("span").orderBy("key")
+        on_row = reduce(or_, [(F.col("span") == bounds.index(s.bounds)) & (F.col("row") == s.row) for s in spans])
+        inside = _in_spans(tall, bounds, null_after)
+        last_rows = inside.withColumn("row", F.row_number().over(order)).filter(on_row).collect()
 
     added = []
     for i, name in enumerate(names):
-        ends = sorted(_as_tuple(r["key"]) for r in last_rows if r["score"] == i)
+        found = sorted(_as_tuple(r["key"]) for r in last_rows if r["score"] == i)
         # a row lies one tile further for every tile end below it
-        passed = [
-            (_literal(_as_json(end, null_after[i]), _TILE_KEY) < keys[i]).cast("int") for end in ends
-        ]
+        passed = [(_literal(_as_json(end, null_after[i]), _TILE_KEY) < keys[i]).cast("int") for end in found]
         added.append(sum(passed, F.lit(1)).cast("int").alias(name))
     return df.select("*", *added)
 
 
+class _Span:
+    """Rows of a score above ``low`` and up to ``high`` among which row number ``row`` ends a tile."""
+
+    def __init__(self, score: int, row: int, size: int) -> None:
+        self.score, self.row, self.size = score, row, size
+        self.low: tuple | None = None
+        self.high: tuple | None = None
+
+    @property
+    def bounds(self) -> tuple:
+        return self.score, self.low, self.high
+
+
+def _in_spans(tall: DataFrame, bounds: list[tuple], null_after: list[int]) -> DataFrame:
+    """The rows within ``bounds``, of which no two overlap, with the number of their span."""
+    number = F.lit(None).cast("int")
+    for n, (score, low, high) in enumerate(bounds):
+        inside = F.col("score") == score
+        if low is not None:
+            inside &= F.col("key") > _literal(_as_json(low, null_after[score]), _TILE_KEY)
+        if high is not None:
+            inside &= F.col("key") <= _literal(_as_json(high, null_after[score]), _TILE_KEY)
+        number = F.when(inside, n).otherwise(number)
+    return tall.withColumn("span", number).filter(F.col("span").isNotNull())
+
+
+def _narrow(tall: DataFrame, spans: list[_Span], wide: list[tuple], null_after: list[int]) -> None:
+    """Cut the ``wide`` spans at sampled keys, and move each tile end into the piece that holds it."""
+    sizes = {s.bounds: s.size for s in spans}
+    rows = _in_spans(tall, wide, null_after)
+    share = min(1.0, SAMPLES_PER_CUT * CUTS / min(sizes[b] for b in wide) / len(wide))
+    sampled = rows.sample(share, seed=17).select("span", "key").collect()
+    cuts = [
+        [c for c in _cuts([_as_tuple(r["key"]) for r in sampled if r["span"] == n], max(2, CUTS // len(wide))) if c != high]
+        for n, (_, _, high) in enumerate(wide)
+    ]
+    most = max(len(c) for c in cuts)
+    padded = [
+        [_as_json(c, null_after[wide[n][0]]) for c in cuts[n]] + [None] * ((1 << most.bit_length()) - len(cuts[n]))
+        for n in range(len(wide))
+    ]
+    all_cuts = _literal(padded, f"array<array<{_TILE_KEY}>>")
+    pieces = rows.withColumn("piece", _cuts_below(F.get(all_cuts, F.col("span")), most, F.col("key")))
+    counted = {
+        (r["span"], r["piece"]): r["n"] for r in pieces.groupBy("span", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    for span in spans:
+        if span.bounds not in wide:
+            continue
+        n = wide.index(span.bounds)
+        limits = [span.low, *cuts[n], span.high]
+        for piece in range(len(limits) - 1):
+            here = counted.get((n, piece), 0)
+            if span.row <= here:
+                span.low, span.high, span.size = limits[piece], limits[piece + 1], here
+                break
+            span.row -= here
+
+
 # --- RANK --------------------------------------------------------------------------------------
 
 
@@ -181,93 +204,39 @@ def add_ranks(
 ) -> DataFrame:
     """Add a bigint RANK column for each entry ``name: (value column, group column or None)``.
 
-    The order is descending with NULL first; the group column is text. Rows that tie with a cut
-    point get their rank without being sorted, which takes care of values shared by very many rows.
+    The order is descending with NULL first; the group column is text.
     """
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    n_rows = df.count()
-    if n_rows <= rows_per_bucket:
-        return df.select("*", *[_plain_rank(value, group).alias(name) for name, (value, group) in ranks.items()])
-
-    columns = df.columns
-    n_buckets = _n_buckets(n_rows, rows_per_bucket)
-    # position in the stored table: spreads tied rows, the same way each time a task runs
-    out = df.withColumn("_row", F.monotonically_increasing_id())
-    for name, (value, group) in ranks.items():
-        kind = f"struct<{'g:string,' if group else ''}after:int,value:{_VALUE}>"
-        out = _bucketed_rank(df, out, name, value, group, kind, n_rows, n_buckets)
-    return out.select(*columns, *ranks)
-
-
-def _plain_rank(value: str, group: str | None) -> Column:
-    window = Window.partitionBy(*([group] if group else [])).orderBy(F.col(value).desc_nulls_first())
-    return F.rank().over(window).cast("bigint")
-
-
-def _rank_key(value: str, group: str | None) -> Column:
-    number = F.col(value).cast(_VALUE)
-    fields = [
-        F.when(F.col(value).isNull(), 0).otherwise(1).alias("after"),
-        (-number).cast(_VALUE).alias("value"),
+    ranges = max(1, -(-df.count() * len(ranks) // rows_per_bucket))
+    kinds = [
+        F.struct(
+            F.lit(i).alias("kind"),
+            (F.col(group) if group else F.lit(None)).cast("string").alias("g"),
+            F.col(value).isNotNull().alias("after"),
+            F.col(value).cast(_VALUE).alias("value"),
+        )
+        for i, (value, group) in enumerate(ranks.values())
     ]
-    return F.struct(*([F.col(group).cast("string").alias("g")] if group else []), *fields)
-
-
-def _bucketed_rank(
-    df: DataFrame,
-    out: DataFrame,
-    name: str,
-    value: str,
-    group: str | None,
-    kind: str,
-    n_rows: int,
-    n_buckets: int,
-) -> DataFrame:
-    key = _rank_key(value, group)
-    sample = [r["key"] for r in _sample(df.select(key.alias("key")), n_rows, n_buckets).collect()]
-
-    def as_tuple(k) -> tuple:
-        head = ((k["g"] is not None, k["g"] or ""),) if group else ()
-        return (*head, k["after"], Decimal(0) if k["value"] is None else k["value"])
-
-    by_tuple = {as_tuple(k): k.asDict() for k in sample}
-    cut_tuples = _cuts(list(by_tuple), n_buckets) if len(by_tuple) < n_buckets else _cuts([as_tuple(k) for k in sample], n_buckets)
-    cut_keys = [by_tuple[t] for t in cut_tuples]
-    n_cuts = len(cut_keys)
-    cuts = _literal(cut_keys + [None] * ((1 << n_cuts.bit_length()) - n_cuts), f"array<{kind}>")
-
-    def same_group(cut: Column) -> Column:
-        inside = cut.isNotNull()
-        return inside & cut["g"].eqNullSafe(F.col(group).cast("string")) if group else inside
-
-    bucket = F.col("_bucket")
-    upper = F.get(cuts, bucket)
-    placed = df.select("*", key.alias("_key"), _cuts_below(cuts, n_cuts, key).alias("_bucket"))
-    on_cut = F.coalesce(upper == F.col("_key"), F.lit(False))
-    counted = {
-        r["_bucket"]: (r["below"], r["on"])
-        for r in placed.groupBy("_bucket")
-        .agg(F.count_if(~on_cut & same_group(upper)).alias("below"), F.count_if(on_cut).alias("on"))
-        .collect()
-    }
-
-    # For each cut: rows of its group before its value, and rows of its group up to and including it.
-    before, up_to = [], []
-    for i, cut in enumerate(cut_keys):
-        below, on = counted.get(i, (0, 0))
-        carried = up_to[i - 1] if i and (not group or cut_keys[i - 1]["g"] == cut["g"]) else 0
-        before.append(carried + below)
-        up_to.append(carried + below + on)
-
-    befores, up_tos = _literal(before, "array<bigint>"), _literal(up_to, "array<bigint>")
-    lower = F.get(cuts, bucket - 1)
-    carried = F.when((bucket > 0) & same_group(lower), F.get(up_tos, bucket - 1)).otherwise(F.lit(0))
-    part = F.when(on_cut, -1 - F.pmod(F.col("_row"), F.lit(n_buckets))).otherwise(bucket).cast("int")
-    window = Window.partitionBy("_part", *([group] if group else [])).orderBy(F.col(value).desc_nulls_first())
-    return (
-        out.select("*", key.alias("_key"), _cuts_below(cuts, n_cuts, key).alias("_bucket"))
-        .withColumn("_part", part)
-        .withColumn("_local", F.rank().over(window))
-        .withColumn(name, F.when(on_cut, F.get(befores, bucket) + 1).otherwise(carried + F.col("_local")).cast("bigint"))
-        .drop("_key", "_bucket", "_part", "_local")
+    values = df.select(F.inline(F.array(*kinds))).groupBy("kind", "g", "after", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = values.repartitionByRange(ranges, "kind", "g", "after", F.col("value").desc())
+    ranged = keep(ranged.withColumn("part", F.spark_partition_id()), "ranked_values")
+    # rows of the same group in the ranges before: one row per group and range
+    earlier = Window.partitionBy("kind", "g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("kind", "g", "part").agg(F.sum("n").alias("n")).select(
+        "kind", F.col("g").alias("g_"), "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
+    in_range = Window.partitionBy("part", "kind", "g").orderBy("after", F.col("value").desc())
+    local = F.coalesce(F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = ranged.withColumn("local", local).alias("v").join(
+        before.alias("b"), F.expr("v.kind = b.kind AND v.part = b.part AND v.g <=> b.g_")
+    ).select("v.kind", "v.g", "v.value", (F.col("before") + F.col("local") + 1).cast("bigint").alias("found"))
+    out = df
+    for i, (name, (value, group)) in enumerate(ranks.items()):
+        mine = found.filter(F.col("kind") == i).select(
+            F.col("g").alias("_g"), F.col("value").alias("_value"), F.col("found").alias(name)
+        )
+        same = F.col(value).cast(_VALUE).eqNullSafe(F.col("_value"))
+        if group:
+            same &= F.col(group).cast("string").eqNullSafe(F.col("_g"))
+        out = out.join(mine, same).drop("_g", "_value")
+    return out.select(*df.columns, *ranks)

@@ -51,7 +51,6 @@ LARGE = [
 def test_matches_sql_with_hot_keys(spark, db, name, monkeypatch):
     monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
     monkeypatch.setattr(skew, "HOT_ROWS", 8)
-    monkeypatch.setattr(skew, "HOT_SHARE", 1e-4)
     monkeypatch.setattr(silver, "WIDE_ORDER", 1)
     monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 20)
     assert check_oracle.compare(spark, db, name, SF_DIR, entry.oracle_sql()[name]) == []

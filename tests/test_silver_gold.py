@@ -308,9 +308,18 @@ def test_hot_keys(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 300)
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     # a third hot, a third unknown, the rest single rows
-    assert skew.hot_keys(df, "k") == ["hot"]
-    assert skew.hot_keys(df.filter(F.col("k") != "hot"), "k") == []
-    assert skew.hot_keys(df.filter(F.col("k").isNull()), "k") == []
+    hashed = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert [r["hot"] for r in skew.hot_keys(df, "k").collect()] == [hashed]
+    assert skew.hot_keys(df.filter(F.col("k") != "hot"), "k") is None
+    assert skew.hot_keys(df.filter(F.col("k").isNull()), "k") is None
+
+
+def test_a_key_with_a_small_share_is_hot_too(spark, monkeypatch):
+    """More rows than the limit, but less than a thousandth of all rows."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 40)
+    df = spark.range(100_000).select(F.when(F.col("id") % 1990 == 7, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    hashed = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert [r["hot"] for r in skew.hot_keys(df, "k").collect()] == [hashed]
 
 
 def test_hot_lookup_keeps_every_row(spark, monkeypatch):
@@ -318,6 +327,6 @@ def test_hot_lookup_keeps_every_row(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 300)
     left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k string, v int")
-    apart = skew.left_lookup(left, [right], "k")
+    apart = skew.join_hot_apart(left, [right], "k", lambda rows, sides: rows.join(sides[0], "k", "left"))
     assert "Union" in apart._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(str, apart.collect())) == sorted(map(str, left.join(right, "k", "left").select(apart.columns).collect()))
