@@ -88,9 +88,10 @@ def gold_customer_rfm(
     customers: DataFrame,
     as_of: str | datetime | None = None,
     rows_per_bucket: int | None = None,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """Silver customers with scores and segment. The first matching rule names the segment; customers
-    without a delivered order match none and need attention."""
+    without a delivered order match none and need attention. ``scores`` are those of ``orders``, if they are there."""
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4), "Champions")
@@ -102,7 +103,8 @@ def gold_customer_rfm(
         .otherwise("Needs Attention")
     )
     base = customers.select("customer_id", "customer_state", "customer_status", "total_spent", "avg_review_score")
-    scores = rfm_scores(rfm_base(orders, as_of), rows_per_bucket)
+    if scores is None:
+        scores = rfm_scores(rfm_base(orders, as_of), rows_per_bucket)
     total = (r + f + m).cast("bigint")
     return skew.left_lookup(base, [scores], "customer_id").select(
         *base.columns,

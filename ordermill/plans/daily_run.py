@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ordermill.operators import gold, marts, quality, silver
 from ordermill.plans.lake import Lake
 from ordermill.schemas import BRONZE_TABLES, MARTS
-from ordermill.session import at_the_same_time
+from ordermill.session import at_the_same_time, keep
 from ordermill.sources.csv_files import load_raw
 
 LAYERS = ("bronze", "silver", "gold")
@@ -29,25 +30,59 @@ def build_bronze(lake: Lake) -> None:
         lake.bronze(table).createOrReplaceTempView(table)
 
 
-def build_silver(lake: Lake, as_of: str | datetime | None = None) -> None:
-    """Enriched orders first, then customers and products, which read them."""
-    orders = lake.write(
-        "silver",
-        "silver_orders",
-        silver.silver_orders(
-            lake.bronze("bronze_orders"), lake.bronze("bronze_order_items"), lake.bronze("bronze_payments"), lake.bronze("bronze_reviews")
-        ),
+def _build_orders(lake: Lake) -> DataFrame:
+    rows = silver.silver_orders(
+        lake.bronze("bronze_orders"), lake.bronze("bronze_order_items"), lake.bronze("bronze_payments"), lake.bronze("bronze_reviews")
     )
-    _write_all(
-        lake,
-        "silver",
-        {
-            "silver_customers": lambda: silver.silver_customers(lake.bronze("bronze_customers"), orders, as_of),
-            "silver_products": lambda: silver.silver_products(
-                lake.bronze("bronze_products"), lake.bronze("bronze_order_items"), orders, lake.bronze("bronze_reviews")
-            ),
-        },
+    return lake.write("silver", "silver_orders", rows)
+
+
+def _build_customers(lake: Lake, orders: DataFrame, as_of: str | datetime | None) -> DataFrame:
+    rows = silver.silver_customers(lake.bronze("bronze_customers"), orders, as_of)
+    return lake.write("silver", "silver_customers", rows)
+
+
+def _build_products(lake: Lake, orders: DataFrame) -> DataFrame:
+    rows = silver.silver_products(
+        lake.bronze("bronze_products"), lake.bronze("bronze_order_items"), orders, lake.bronze("bronze_reviews")
     )
+    return lake.write("silver", "silver_products", rows)
+
+
+def build_silver(lake: Lake, as_of: str | datetime | None = None) -> None:
+    """Enriched orders first, then customers and products, which read them."""
+    orders = _build_orders(lake)
+    steps = {"customers": lambda: _build_customers(lake, orders, as_of), "products": lambda: _build_products(lake, orders)}
+    at_the_same_time(lambda name: steps[name](), steps)
+
+
+def build_models(lake: Lake, as_of: str | datetime | None = None) -> None:
+    """All layers, each table as soon as those that it reads are there."""
+    _drop_marts(lake)
+    build_bronze(lake)
+    orders = _build_orders(lake)
+
+    def products() -> None:
+        lake.write("gold", "gold_product_performance", gold.gold_product_performance(_build_products(lake, orders)))
+
+    steps = {
+        "products": products,
+        "scores": lambda: keep(gold.rfm_scores(gold.rfm_base(orders, as_of)), "rfm_scores"),
+        "customers": lambda: _build_customers(lake, orders, as_of),
+        "daily": lambda: lake.write("gold", "gold_revenue_daily", gold.gold_revenue_daily(orders)),
+    }
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        rows = gold.gold_customer_rfm(orders, running["customers"].result(), as_of, scores=running["scores"].result())
+        lake.write("gold", "gold_customer_rfm", rows)
+        for step in running.values():
+            step.result()
+
+
+def _drop_marts(lake: Lake) -> None:
+    """Marts of the tables before would be out of date."""
+    for mart in MARTS:
+        lake.drop("marts", mart)
 
 
 def build_gold(lake: Lake, as_of: str | datetime | None = None) -> None:
@@ -65,9 +100,8 @@ def build_gold(lake: Lake, as_of: str | datetime | None = None) -> None:
 
 def run_layer(lake: Lake, layer: str, as_of: str | datetime | None = None) -> None:
     """Build one layer from the stored layers below it."""
-    # marts of the tables before would be out of date
-    for mart in MARTS if layer != "bronze" else ():
-        lake.drop("marts", mart)
+    if layer != "bronze":
+        _drop_marts(lake)
     if layer == "bronze":
         build_bronze(lake)
     elif layer == "silver":
@@ -139,8 +173,7 @@ def run_all(
     if as_of is None:
         as_of = spark.range(1).select(F.localtimestamp()).first()[0]
     load_raw(spark, csv_root, lake, stem_prefix).collect()
-    for layer in LAYERS:
-        run_layer(lake, layer, as_of)
+    build_models(lake, as_of)
     checked = quality.quality_report(
         {t: lake.raw(t) for t in ("orders", "order_items", "customers", "products", "payments", "reviews")},
         min_orders,
