@@ -181,6 +181,7 @@ def reviews_by_category(
 def overview_cards(kpi: DataFrame) -> DataFrame:
     """The five figures of the overview as text."""
     cards = {
+        # The titles of the cards.
         "Total Orders": thousands(F.col("n_orders")),
         "Total Revenue": money_label(F.col("total_revenue")),
         "Avg Order Value": money_label(F.col("avg_order_value")),

@@ -61,6 +61,7 @@ def quality_report(raw: Mapping[str, DataFrame], min_orders: int = MIN_ORDERS) -
     Text is compared as stored, without trimming. A NULL status, type or score passes.
     """
     orders = raw["orders"]
+    # The names of the checks, by which reports know them.
     parts = [
         _report(
             orders,

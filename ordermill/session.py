@@ -58,8 +58,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if base is None:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-            base = tempfile.mkdtemp(prefix="ordermill-")
-        path = f"{base.rstrip('/')}/ordermill-{uuid.uuid4().hex}"
+            path = tempfile.mkdtemp(prefix="ordermill-")
+        else:
+            path = f"{base.rstrip('/')}/ordermill-{uuid.uuid4().hex}"
         hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
         _scratch[app] = path
