@@ -171,7 +171,8 @@ def _find(units: Units, length: int, gram: int, low: int) -> tuple[np.ndarray, .
     fresh = np.concatenate([[True], (at[1:] != at[:-1]) | (begin[1:] != begin[:-1] + 1)])
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(begin)) - 1
-    return grams[at[first]], at[first] + low, begin[first] + low, begin[last] + low
+    # the smallest hashes crowd at the low end: mixed again, keys are even over their range
+    return mix(grams[at[first]]), at[first] + low, begin[first] + low, begin[last] + low
 
 
 def windows(texts: np.ndarray, length: int) -> np.ndarray:
