@@ -7,8 +7,8 @@ negligible. Only these sums reach the driver (at most ``CELLS`` numbers a round)
 
 Equal texts are a group and stay together. Groups above ``HEAVY`` of a shard (there are few, by arithmetic) are placed
 first, largest first, each into the emptiest shard, and the tree splits the rest so as to fill up what they leave; so a
-large group does not tip a median. A group above ``OVERSIZE`` of a shard cannot stay whole without breaking the law
-and is dealt out in portions.
+large group does not tip a median. A group stays whole if it fits a shard. Only where whole groups would overfill one,
+those above the next smaller of the ``OVERSIZE`` shares are dealt out in portions, as the law on sizes comes first.
 
 A row's size is its text's UTF-8 bytes plus one, so a NULL or empty text counts one. NULL metadata sorts first. Repeated
 rows are a group like any equal texts, and each gets a slot of its own. Slots of a shard run from 0 without gaps. An
@@ -29,8 +29,9 @@ from ordermill.session import keep
 
 RESULT = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 HEAVY = 0.005  # of a shard's bytes
-OVERSIZE = 0.25
-PORTION = 0.05
+OVERSIZE = (1.0, 0.5, 0.25, 0.05)  # of a shard's bytes
+OVERFILL = 0.01
+PORTION = 0.02
 CELLS = 1 << 16
 NEGLIGIBLE = 1e-4  # of a shard's bytes
 SLOT_ROWS = 50_000
@@ -61,6 +62,17 @@ def _place_heavy(heavy: list, room: list[float]) -> list[dict]:
     return placed
 
 
+def _oversize(heavy: list[int], capacity: float, shards: int) -> float:
+    """The largest share of a shard up to which groups can stay whole without overfilling a shard."""
+    for share in OVERSIZE:
+        room = [capacity] * shards
+        for size in sorted((b for b in heavy if b <= share * capacity), reverse=True):
+            room[room.index(max(room))] -= size
+        if min(room) >= -OVERFILL * capacity:
+            return share
+    return OVERSIZE[-1]
+
+
 def _cuts(units: DataFrame, dims: int, nodes: dict[int, tuple[int, int]], room: list[float], slack: float) -> list[dict]:
     """For each node of more than one shard, the dimension, the key up to which rows go left, and the children."""
     ranges = [(F.max(F.col("keys")[d]) - F.min(F.col("keys")[d])).alias(f"s{d}") for d in range(dims)]
@@ -140,10 +152,12 @@ def shard(
     capacity = total / n
 
     # groups too large for one shard, in portions
-    large = groups.where(F.col("bytes") > OVERSIZE * capacity).select(
+    heavy_groups = groups.where(F.col("bytes") > HEAVY * capacity).select("bytes")  # fewer than shards / HEAVY rows
+    share = _oversize([r["bytes"] for r in heavy_groups.collect()], capacity, n)
+    large = groups.where(F.col("bytes") > share * capacity).select(
         "k1", "k2", F.ceil(F.col("bytes") / F.lit(max(PORTION * capacity, 1.0))).alias("portions")
     )
-    large = F.broadcast(large)  # fewer than shards / OVERSIZE rows
+    large = F.broadcast(large)  # fewer than shards / min(OVERSIZE) rows
     rows = rows.join(large, ["k1", "k2"], "left").withColumn(
         "portion", F.coalesce(F.pmod(F.xxhash64("number"), F.col("portions")), F.lit(0)).cast("int")
     )

@@ -49,6 +49,17 @@ def test_group_of_a_third_of_all(spark):
     assert max(sizes.values()) <= 1.02 * min(sizes.values())
 
 
+def test_large_groups_stay_whole_while_they_fit(spark):
+    data = [(i, f"text {i} " * 5, "s") for i in range(4000)] + [(5000 + i, "a text that many rows share " * 4, "t") for i in range(250)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    found = sharding.shard(docs, ["source", "doc_id"], shards=8).collect()
+    sizes = check(found, [(d[0], d[1]) for d in data], 8)
+    assert max(sizes.values()) <= 1.02 * min(sizes.values())
+    assert len({r["shard"] for r in found if r["doc_id"] >= 5000}) == 1
+    # nine groups that no eight shards can hold evenly are taken apart
+    assert sharding._oversize([90] * 8 + [80], 100, 8) < 0.9 and sharding._oversize([100] * 8, 100, 8) == 1.0
+
+
 def test_shards_are_close_in_metadata(spark):
     """One dimension that matters: its ranges do not overlap."""
     data = [(i, "t" * (1 + i * 7 % 13) + str(i), i) for i in range(5000)]
