@@ -8,15 +8,13 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import bpe, decontamination, quality_rules, simhash, suffix_array_dedup
+from ordermill.llm.registry import tokenizer_file
 from ordermill.session import scratch_dir
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
@@ -41,8 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text that they decode to, in place of the text."""
-    with open(TOKENIZER, encoding="utf-8") as file:
-        return bpe.encode(docs, file.read()).drop("text")
+    return bpe.encode(docs, tokenizer_file("word_bpe_49k.json")).drop("text")
 
 
 STAGES = [

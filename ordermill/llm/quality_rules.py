@@ -2,7 +2,8 @@
 
 Every rule names a measure of the text and the range in which it must lie. Measures are Spark expressions
 over the text alone (length, symbol, stop-word and line ratios), so the whole operator is one narrow
-projection: no shuffle, no Python, nothing kept between rows.
+projection: no shuffle, no Python, nothing kept between rows. A filter on a result column should go through ``keep_good``, or
+follow a stored result: Spark would move it below the projection and work out the measures again for it.
 
 Defined results: a NULL or empty text has zero words and fails the base rule; repeated rows are judged alike;
 every column of the input is carried through, and only the documented result columns are added (an input
