@@ -25,13 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.anchors import Hashes, words
+from ordermill.llm.anchors import hash_spans, words
 from ordermill.llm.chunks import (
-    CHUNK_BYTES, ask, extended, finish, n_parts, pack, pack_arrays, slices_by_part, text_buffer, unpack_arrays, with_answers,
+    CHUNK_BYTES, ask, extended, finish, n_parts, pack, pack_arrays, part_of, text_buffer, unpack_arrays, with_answers,
 )
 
 RESULT = ["n_tokens", "ids", "decoded"]
-PART_BYTES = 32 << 20
+PART_BYTES = 12 << 20
 
 
 @lru_cache(maxsize=2)
@@ -59,7 +59,7 @@ def check_definition(definition: str) -> None:
 
 
 class _Words:
-    """Words of a chunk: the distinct ones in order of their hash, and which of them stands where."""
+    """Words of a chunk: the distinct ones in order, and which of them stands where."""
 
     def __init__(self, rows: pa.Table, text: int):
         data, offsets = text_buffer(rows, text)
@@ -77,21 +77,30 @@ class _Words:
         distinct = found.dictionary
         cuts = np.frombuffer(distinct.buffers()[1], np.int64)[: len(distinct) + 1] if len(distinct) else np.zeros(1, np.int64)
         body = np.frombuffer(distinct.buffers()[2], np.uint8)[: cuts[-1]] if cuts[-1] else np.zeros(0, np.uint8)
-        hashes = Hashes(body).of(cuts[:-1], cuts[1:])
-        by = np.argsort(hashes, kind="stable")
-        self.hashes, self.distinct = hashes[by], distinct.take(pa.array(by))
+        # in order of the words, in which neighbours are alike and messages compress
+        by = pc.sort_indices(distinct)
+        self.distinct = distinct.take(by)
+        self.hashes = hash_spans(body, cuts[:-1], cuts[1:])[np.asarray(by)]
         rank = np.empty(len(by), np.int64)
-        rank[by] = np.arange(len(by))
+        rank[np.asarray(by)] = np.arange(len(by))
         self.place = rank[np.asarray(found.indices)] if len(starts) else np.zeros(0, np.int64)
 
+    def by_part(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct words in the order of their parts, and their parts."""
+        part = part_of(self.hashes, parts)
+        by = np.argsort(part, kind="stable")
+        return by, part[by]
+
 
 def _question(rows: pa.Table, text: int, parts: int) -> list[tuple[int, bytes]]:
     own = _Words(rows, text)
-    out = []
-    for part, a, b in slices_by_part(own.hashes, parts):
-        piece = pa.concat_arrays([own.distinct.slice(a, b - a)])
-        out.append((part, pack_arrays(np.asarray(pc.binary_length(piece)).astype(np.uint32), np.frombuffer(b"".join(piece.to_pylist()), np.uint8))))
-    return out
+    by, part = own.by_part(parts)
+    words_by_part = own.distinct.take(pa.array(by)).to_pylist()
+    cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    return [
+        (int(part[a]), pack_arrays(np.array([len(w) for w in words_by_part[a:b]], np.uint32), np.frombuffer(b"".join(words_by_part[a:b]), np.uint8)))
+        for a, b in zip(cuts, [*cuts[1:], len(part)])
+    ]
 
 
 def _answer(bodies: list[bytes], definition: str) -> list[bytes]:
@@ -102,17 +111,22 @@ def _answer(bodies: list[bytes], definition: str) -> list[bytes]:
         raw, cuts = data.tobytes(), np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).tolist()
         asked.append([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(cuts[:-1], cuts[1:])])
     tokenizer, table = _tokenizer(definition), list(numbers)
-    ids: list[np.ndarray] = []
-    for first in range(0, len(table), 10_000):
-        batch = [w.decode() for w in table[first : first + 10_000]]
-        ids += [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-    return [
-        pack_arrays(
-            np.array([len(ids[k]) for k in ks], np.uint32),
-            np.concatenate([ids[k] for k in ks]) if ks else np.zeros(0, np.uint32),
-        )
-        for ks in asked
-    ]
+    counts, found = [], []
+    for first in range(0, len(table), 5_000):
+        batch = [w.decode() for w in table[first : first + 5_000]]
+        ids = [e.ids for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        counts.append(np.array([len(i) for i in ids], np.int64))
+        found.append(np.fromiter((i for own in ids for i in own), np.uint32))
+    none = np.zeros(0, np.int64)
+    sizes, flat = np.concatenate([none, *counts]), np.concatenate([none.astype(np.uint32), *found])
+    firsts = np.cumsum(sizes) - sizes
+    return [_ids_of(np.array(ks, np.int64), sizes, firsts, flat) for ks in asked]
+
+
+def _ids_of(chosen: np.ndarray, sizes: np.ndarray, firsts: np.ndarray, flat: np.ndarray) -> bytes:
+    own = sizes[chosen]
+    at = np.repeat(firsts[chosen] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
+    return pack_arrays(own.astype(np.uint32), flat[at])
 
 
 @lru_cache(maxsize=2)
@@ -146,6 +160,10 @@ def encode(
         if len(counts) != len(own.hashes):
             raise RuntimeError("the rows of a chunk are not those that asked: read the input from a stable source")
         table = np.concatenate([np.zeros(0, np.uint32)] + [i for _, i in replies])
+        by, _ = own.by_part(parts)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        own.place = rank[own.place]
         return _with_ids(rows, own, counts, table, _pieces(shared.value), digests)
 
     return finish(with_answers(chunks, answers), result, schema)
