@@ -74,31 +74,45 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(body).alias("__k1"), F.xxhash64(F.lit(1), body).alias("__k2")]
 
 
-def _matches(texts: DataFrame, text: str, items: DataFrame, item_id: str, item_text: str, window: int, shingle: int) -> DataFrame:
-    """Verified occurrences: (__k1, __k2, begin, length, id), and the windows."""
+_NO_SHINGLE = 0x5EED  # stands first in each text's shingles, and for the text as a whole
+
+
+def _matches(
+    texts: DataFrame, text: str, carried: list[str], items: DataFrame, item_id: str, item_text: str, window: int, shingle: int
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """The items' windows, verified occurrences (__k1, __k2, begin, length, id), and all rows (__k1, __k2, n, row)."""
     windows = keep(_item_windows(items, item_id, item_text, window), "item-windows")
     sizes = sorted(r[0] for r in windows.select(F.least("length", F.lit(shingle)).alias("s")).distinct().collect())
     parts, grams = [], []
-    read = texts.select(*_keys(F.col(text)), words(F.col(text)).alias("w"))
+    row = F.struct(*[F.col(f"`{c}`") for c in carried]) if carried else F.struct(F.lit(1).alias("none"))
+    read = texts.select(*_keys(F.col(text)), words(F.col(text)).alias("w"), row.alias("row"))
     for size in sizes:
         mine = windows.where(F.least("length", F.lit(shingle)) == size)
         grams.append(mine.select("id", F.posexplode(shingles(F.col("words"), size)).alias("offset", "h")))
-        known = _bounded(keep(grams[-1].select("h").distinct(), "item-shingles"))
-        spread = read.withColumn("grams", shingles(F.col("w"), size))
-        spread = spread.select("__k1", "__k2", "w", F.posexplode("grams").alias("pos", "h")).join(known, "h")
+        known = grams[-1].select("h").distinct()
+        own = shingles(F.col("w"), size)
+        if size == sizes[0]:  # one pass gives every text a row too
+            known = known.unionByName(known.sparkSession.range(1).select(F.lit(_NO_SHINGLE).cast("long").alias("h")))
+            own = F.concat(F.array(F.lit(_NO_SHINGLE).cast("long")), own)
+        known = _bounded(keep(known, "item-shingles"))
+        spread = read.withColumn("grams", own).select("__k1", "__k2", "w", "row", F.posexplode("grams").alias("pos", "h"))
+        spread = spread.withColumn("pos", F.col("pos") - F.lit(int(size == sizes[0]))).join(known, "h")
         low = F.greatest(F.col("pos") - F.lit(window - size), F.lit(0))
         parts.append(
             spread.select(
                 "__k1", "__k2", "pos", "h", F.lit(size).alias("size"), F.size("w").alias("n"), low.alias("low"),
-                F.slice("w", low + 1, F.lit(2 * window)).alias("near"),
+                F.when(F.col("pos") >= 0, F.slice("w", low + 1, F.lit(2 * window))).alias("near"),
+                F.when(F.col("pos") < 0, F.col("row")).alias("row"),
             )
         )
     if not parts:
-        return windows, None
+        return windows, None, None
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     found = keep(found, "shared-shingles")
+    whole = found.where("pos < 0").select("__k1", "__k2", "n", "row")
+    found = found.where("pos >= 0").drop("row")
     order = found.groupBy("size", "h").agg(F.count("*").alias("times"))
     all_grams = grams[0].withColumn("size", F.lit(sizes[0]))
     for size, more in zip(sizes[1:], grams[1:]):
@@ -115,14 +129,11 @@ def _matches(texts: DataFrame, text: str, items: DataFrame, item_id: str, item_t
     begin = F.col("pos") - F.col("offset")
     tried = found.join(prefix, ["size", "h"]).withColumn("begin", begin)
     tried = tried.where("begin >= 0 AND begin + length <= n AND slice(near, begin - low + 1, length) = words")
-    return windows, tried.select("__k1", "__k2", "begin", "length", "id").distinct()
+    return windows, tried.select("__k1", "__k2", "begin", "length", "id").distinct(), whole
 
 
-def _hits(texts: DataFrame, text: str, items: DataFrame, item_id: str, item_text: str, window: int, shingle: int) -> DataFrame | None:
+def _hits(windows: DataFrame, matches: DataFrame) -> DataFrame:
     """(__k1, __k2, n_hit, items) of every text that has a hit."""
-    windows, matches = _matches(texts, text, items, item_id, item_text, window, shingle)
-    if matches is None:
-        return None
     matches = keep(matches, "matches")
     spans = matches.groupBy("__k1", "__k2").agg(
         F.sort_array(F.collect_set(F.struct("begin", (F.col("begin") + F.col("length")).alias("end")))).alias("spans")
@@ -144,17 +155,16 @@ def mark(
 ) -> DataFrame:
     """``docs`` without the text, with ``n_words``, ``n_hit``, ``items`` (ids, sorted) and ``contaminated``."""
     docs = docs.drop(*[c for c in RESULT if c != text])
-    hits = _hits(docs, text, items, item_id, item_text, window, shingle)
-    light = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != text], *_keys(F.col(text)),
-        F.size(words(F.col(text))).cast("long").alias("n_words"),
-    )
-    if hits is None:
+    carried = [c for c in docs.columns if c != text]
+    windows, matches, whole = _matches(docs, text, carried, items, item_id, item_text, window, shingle)
+    if matches is None:
+        light = docs.select(*[F.col(f"`{c}`") for c in carried], F.size(words(F.col(text))).cast("long").alias("n_words"))
         marked = light.withColumns({"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")})
     else:
-        marked = light.join(hits, ["__k1", "__k2"], "left")
+        light = whole.select("__k1", "__k2", *[F.col(f"row.`{c}`") for c in carried], F.col("n").cast("long").alias("n_words"))
+        marked = light.join(_hits(windows, matches), ["__k1", "__k2"], "left")
     return marked.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != text], "n_words",
+        *[F.col(f"`{c}`") for c in carried], "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
@@ -167,8 +177,9 @@ def clean(
 ) -> DataFrame:
     """The documents without a hit, with the columns of ``docs``."""
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
-    hits = _hits(inner, "text", items, item_id, item_text, window, shingle)
-    if hits is None:
+    windows, matches, _ = _matches(inner, "text", [], items, item_id, item_text, window, shingle)
+    if matches is None:
         return docs
+    hits = matches.select("__k1", "__k2").distinct()
     keyed = inner.select("row", *_keys(F.col("text")))
-    return keyed.join(hits.select("__k1", "__k2"), ["__k1", "__k2"], "left_anti").select("row.*")
+    return keyed.join(hits, ["__k1", "__k2"], "left_anti").select("row.*")
