@@ -4,16 +4,18 @@ The pages of a host are merged into one tree: a node is an element's place, the
 it. Two entropies tell how much a node matters, both relative to the number of distinct pages that have it. Its
 presentation entropy is that of the number of text blocks in it, which varies from page to page where content is, and not
 in menus. Its content importance is one minus the mean entropy of its blocks over the pages: a block that stands on
-every page has entropy one, a block of one page has none. Branches of low importance on most pages of a host are
-removed from each page, whatever they are called. Copies of a page count once, so a host full of copies keeps its text.
+every page has entropy one, a block of one page has none. At a place of low importance that most pages of a host have, the blocks
+that are of low importance themselves, by their own entropy, are removed from each page, whatever they are called; a
+page's own blocks stay. Pages are told apart by the sequence of the blocks that they would give, dates and times left
+out, so copies that differ in scripts, tokens, adverts or dates count once, and a host full of copies keeps its text.
 
 Some presentation nodes need no statistics, as their tags or classes say that they are menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles or comments; they are removed first. If ``article`` or ``main``
 elements are left with text, they are the content.
 
 The style tree is built by grouping (host, place, block) rows, so neither a host with a third of all pages nor a block
-that all pages share meets in one task. The list of removed places is broadcast while it has at most
-``BROADCAST_ROWS`` rows, which is counted first; beyond that Spark joins pages and hosts by shuffles.
+that all pages share meets in one task. The lists of low places and of removed blocks are broadcast while they have at
+most ``BROADCAST_ROWS`` entries, which are counted first; beyond that Spark joins by shuffles.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page
 order by one space. NULL and empty pages give an empty text; a NULL url has no host and no style tree; repeated rows
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -79,6 +81,12 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+# dates and times of day do not tell copies of a page apart
+_DATE = re.compile(
+    r"\b(?:\d{4}([-./])\d{1,2}\1\d{1,2}|\d{1,2}([-./])\d{1,2}\2\d{2,4}|\d{1,2}\.? [^\W\d]{3,10}\.?,? \d{4}|[^\W\d]{3,10}\.? \d{1,2}, \d{4})\b"
+    r"|(?:\bT)?\b\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z\b|[+-]\d{2}:?\d{2}\b)?"
+)
+_DIGIT = re.compile(r"\d")
 _HOST = re.compile(r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 
 
@@ -160,13 +168,31 @@ def blocks(page: str, places: _Places) -> list[tuple[int, bool, str]]:
     return out
 
 
+def _chosen(found: list[tuple[int, bool, str]]) -> list[tuple[int, bool, str]]:
+    return [x for x in found if x[1]] or found
+
+
 def main_text(found: list[tuple[int, bool, str]], low: set[int]) -> str:
-    """The text of a page's blocks without those at unimportant places."""
-    chosen = [x for x in found if x[1]] or found
-    left = [text for place, _, text in chosen if place not in low]
+    """The text of a page's blocks without the unimportant ones."""
+    chosen = _chosen(found)
+    left = [text for place, _, text in chosen if not low or _block(place, text) not in low]
     return " ".join(left or [text for _, _, text in chosen])
 
 
+def _undated(text: str) -> str:
+    return " ".join(_DATE.sub("", text).split()) if _DIGIT.search(text) else text
+
+
+def _page(found: list[tuple[int, bool, str]]) -> int:
+    """What tells a page from others: the sequence of its blocks without dates."""
+    return _signed(xxhash.xxh64_intdigest("\n".join(_undated(text) for _, _, text in _chosen(found))))
+
+
+def _block(place: int, text: str) -> int:
+    """Number of a text at a place."""
+    return _signed(xxhash.xxh64_intdigest(text, place))
+
+
 def _host(url: str | None) -> str:
     found = _HOST.match(url or "")
     return found[1].lower() if found else ""
@@ -177,7 +203,7 @@ def _signed(value: int) -> int:
 
 
 def style_nodes(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """Rows (host, page, place, block, times): how often a block stands at a place of a page; ``page`` is its content."""
+    """Rows (host, page, place, block, times): how often a block stands at a place of a page; copies share ``page``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places()
@@ -189,8 +215,9 @@ def style_nodes(pages: DataFrame, url: str, html: str) -> DataFrame:
                     host = _host(address)
                     if not host or not page:
                         continue
-                    number = _signed(xxhash.xxh64_intdigest(page))
-                    counted = Counter((place, _signed(xxhash.xxh64_intdigest(text))) for place, _, text in blocks(page, places))
+                    found = blocks(page, places)
+                    number = _page(found)
+                    counted = Counter((place, _block(place, text)) for place, _, text in found)
                     for (place, block), times in counted.items():
                         for column, value in zip(columns, (host, number, place, block, times)):
                             column.append(value)
@@ -202,9 +229,16 @@ def style_nodes(pages: DataFrame, url: str, html: str) -> DataFrame:
     return pages.select(url, html).mapInArrow(run, "host string, page long, place long, block long, times long")
 
 
+def _once(nodes: DataFrame) -> DataFrame:
+    return keep(nodes.groupBy("host", "page", "place", "block").agg(F.max("times").alias("times")), "style-nodes")
+
+
 def importance(nodes: DataFrame) -> DataFrame:
-    """(host, place, pages, host_pages, importance) of each node of the style trees."""
-    once = keep(nodes.groupBy("host", "page", "place", "block").agg(F.max("times").alias("times")), "style-nodes")
+    """(host, place, pages, host_pages, layout, importance) of each node; ``layout`` is the part of the presentation."""
+    return _rated(_once(nodes))
+
+
+def _rated(once: DataFrame) -> DataFrame:
     shared = once.groupBy("host", "place", "block").agg(F.count("*").alias("n"))
     content = shared.groupBy("host", "place").agg(
         (F.sum(F.col("n") * F.ln("n")) / F.sum("n")).alias("spread")
@@ -216,18 +250,31 @@ def importance(nodes: DataFrame) -> DataFrame:
     )
     hosts = once.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_pages"))
     joined = shape.join(content, ["host", "place"]).join(hosts, "host")
-    scale = F.when(F.col("pages") > 1, F.ln("pages"))
-    value = (1 - CONTENT_WEIGHT) * F.col("variety") / scale + CONTENT_WEIGHT * (1 - F.col("spread") / scale)
-    return joined.select("host", "place", "pages", "host_pages", F.coalesce(value, F.lit(1.0)).alias("importance"))
+    layout = (1 - CONTENT_WEIGHT) * F.col("variety") / _scale()
+    value = layout + _content(F.col("spread"))
+    return joined.select("host", "place", "pages", "host_pages", layout.alias("layout"), F.coalesce(value, F.lit(1.0)).alias("importance"))
+
+
+def _scale() -> Column:
+    return F.when(F.col("pages") > 1, F.ln("pages"))
+
+
+def _content(spread: Column) -> Column:
+    return CONTENT_WEIGHT * (1 - spread / _scale())
 
 
 def unimportant(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, low): the places that are removed from the pages of a host."""
-    rated = importance(style_nodes(pages, url, html))
+    """(host, low): the blocks that are removed from the pages of a host."""
+    once = _once(style_nodes(pages, url, html))
+    rated = _rated(once)
     chosen = rated.where(
         (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("host_pages")) & (F.col("importance") < LOW)
     )
-    return keep(chosen.groupBy("host").agg(F.collect_list("place").alias("low")), "style-low")
+    chosen = keep(chosen.select("host", "place", "pages", "layout"), "style-places")
+    there = once.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen, ["host", "place"])
+    shared = there.groupBy("host", "place", "block", "pages", "layout").agg(F.count("*").alias("n"))
+    low = shared.where(F.col("layout") + _content(F.ln("n")) < LOW)
+    return keep(low.groupBy("host").agg(F.collect_list("block").alias("low")), "style-low")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -235,11 +282,11 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     pages = pages.drop(*[c for c in RESULT if c not in (url, html)])
     low = unimportant(pages, url, html)
     carried = [c for c in pages.columns if c != html]
-    places = low.agg(F.sum(F.size("low"))).first()[0] or 0
-    if places:
+    removed = low.agg(F.sum(F.size("low"))).first()[0] or 0
+    if removed:
         named = pages.withColumn("__host", F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), _HOST.pattern, 1)))
         low = low.withColumnRenamed("host", "__host").withColumnRenamed("low", "__low")
-        asked = named.join(F.broadcast(low) if places <= BROADCAST_ROWS else low, "__host", "left").drop("__host")
+        asked = named.join(F.broadcast(low) if removed <= BROADCAST_ROWS else low, "__host", "left").drop("__host")
     else:
         asked = pages.withColumn("__low", F.lit(None).cast("array<bigint>"))
     asked = asked.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{html}`").alias("__html"), "__low")

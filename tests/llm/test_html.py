@@ -59,6 +59,24 @@ def test_site_noise_goes_and_content_stays(spark):
     assert h.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_count_once_and_unique_blocks_stay(spark):
+    long = "".join(f"<p>Copied paragraph {j}.</p>" for j in range(30))
+    copies = [
+        f"<script>track({i})</script><div class=ad>ad {i}</div><article class='x'><h1>Copy</h1><p>2026-03-{i % 28 + 1:02}</p>{long}</article>"
+        for i in range(60)
+    ]
+    unique = [f"<article class='x'><h1>Page {i}</h1>" + "".join(f"<p>Own {i} {j}</p>" for j in range(5)) + "</article>" for i in range(40)]
+    # the same place holds a line that all pages share, and a page's own line on a few
+    lines = [f"<main><h1>T {i}</h1><p>Shared line.</p>" + (f"<p>Own line {i}</p>" if i % 10 == 0 else "") + "</main>" for i in range(40)]
+    rows = [(i, "http://c.example/", page) for i, page in enumerate(copies + unique)] + [(1000 + i, "http://d.example/", x) for i, x in enumerate(lines)]
+    got = {r["page_id"]: r["text"] for r in h.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(60):
+        assert got[i] == f"Copy 2026-03-{i % 28 + 1:02} " + " ".join(f"Copied paragraph {j}." for j in range(30))
+    for i in range(40):
+        assert got[60 + i] == f"Page {i} " + " ".join(f"Own {i} {j}" for j in range(5))
+        assert got[1000 + i] == f"T {i}" + (f" Own line {i}" if i % 10 == 0 else "")
+
+
 def test_importance_by_hand(spark):
     rows = [("h", p, 1, 7, 1) for p in range(8)] + [("h", p, 2, 100 + p, 1 + p % 2) for p in range(8)]
     nodes = spark.createDataFrame(rows + rows, "host string, page long, place long, block long, times long")
