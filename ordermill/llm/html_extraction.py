@@ -52,6 +52,7 @@ SKIPPED = {
     "button", "select", "textarea", "object", "canvas", "audio", "video", "dialog", "menu", "header",
 }
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "xmp")
+FOREIGN = ("svg", "math")  # these have no text if their tag closes itself
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
@@ -74,9 +75,12 @@ CLOSES = {
 }
 HOLDS = {"ul", "ol", "dl", "table", "select", "article", "main", "body", "div", "section", "nav", "aside", "footer", "header", "blockquote"}
 
+_REST = r"(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|<[!?/][^>]*+>",
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<alone>" + "|".join(FOREIGN) + r")(?=[\s/>])" + _REST + r"(?<=/)>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>" + _REST + r")>|<[!?/][^>]*+>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

@@ -31,6 +31,11 @@ def one(page: str) -> str:
         ("<article>1 < 2 &lt;b&gt; &#233; &#x41;</article>", "1 < 2 <b> é A"),
         ("<!-- <p>no</p> --><p>yes</p><!-- open", "yes"),
         ("<p title='a>b'>t</p></b></p>", "t"),
+        ("<article><p>one</p><svg-icon name='x'></svg-icon><p>two three</p></article>", "one two three"),
+        ("<article><p>a</p><title-bar>b</title-bar><template-x/>c<style-guide>d</style-guide><script-1></script-1>e</article>", "a b c d e"),
+        ("<article><p>1<svg/>2<svg viewBox='0 > 1' />3<math/>4</p><p>5<svg><path d='M0'/><text>no</text></svg>6</p></article>", "1234 56"),
+        ("<article><p>a</p><svg width=1 height=2/><MATH /><p>b</p></article>", "a b"),
+        ("<p>k<script src='x>y/'/>var t;</script\n>l</p><style>p{}</style x><p>m</p>", "kl m"),
     ],
 )
 def test_pages(page, text):
