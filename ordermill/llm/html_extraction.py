@@ -4,9 +4,10 @@ The pages of a host are merged into one tree: a node is an element's place, the
 it. Two entropies tell how much a node matters, both relative to the number of distinct pages that have it. Its
 presentation entropy is that of the number of text blocks in it, which varies from page to page where content is, and not
 in menus. Its content importance is one minus the mean entropy of its blocks over the pages: a block that stands on
-every page has entropy one, a block of one page has none. At a place of low importance that most pages of a host have, the blocks
+every page has entropy one, a block of one page has none. At a place of low importance, the blocks
 that are of low importance themselves, by their own entropy, are removed from each page, whatever they are called; a
-page's own blocks stay. Pages are told apart by the sequence of the blocks that they would give, dates and times left
+page's own blocks stay. Both are judged at any number of pages and any share of a host, so each template of a host is
+judged by its own pages; what few pages tell is drawn towards content, as if ``PRIOR`` more pages had the node as content. Pages are told apart by the sequence of the blocks that they would give, dates and times left
 out, so copies that differ in scripts, tokens, adverts or dates count once, and a host full of copies keeps its text.
 
 Some presentation nodes need no statistics, as their tags or classes say that they are menus, headers, footers,
@@ -15,7 +16,8 @@ elements are left with text, they are the content.
 
 The style tree is built by grouping (host, place, block) rows, so neither a host with a third of all pages nor a block
 that all pages share meets in one task. The lists of low places and of removed blocks are broadcast while they have at
-most ``BROADCAST_ROWS`` entries, which are counted first; beyond that Spark joins by shuffles.
+most ``BROADCAST_ROWS`` entries, which are counted first; beyond that Spark joins by shuffles, and a page gets only the
+removed blocks that it has.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page
 order by one space. NULL and empty pages give an empty text; a NULL url has no host and no style tree; repeated rows
@@ -40,9 +42,8 @@ from ordermill.llm.chunks import extended
 from ordermill.session import keep
 
 RESULT = ["text", "n_chars"]
-MIN_PAGES = 8  # fewer distinct pages tell too little about a node
-MIN_SHARE = 0.5  # of the host's pages have the node
 LOW = 0.2
+PRIOR = 1.0  # imagined pages where a node is content: the fewer pages have it, the more they weigh
 CONTENT_WEIGHT = 0.9
 BROADCAST_ROWS = 200_000
 
@@ -211,24 +212,22 @@ def style_nodes(pages: DataFrame, url: str, html: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                piece = batch.slice(first, 500)
-                columns: list[list] = [[], [], [], [], []]
-                for address, page in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    host = _host(address)
-                    if not host or not page:
-                        continue
-                    found = blocks(page, places)
-                    number = _page(found)
-                    counted = Counter((place, _block(place, text)) for place, _, text in found)
-                    for (place, block), times in counted.items():
-                        for column, value in zip(columns, (host, number, place, block, times)):
-                            column.append(value)
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "place", "block", "times"]
-                )
+        for piece in _pieces(batches):
+            columns: list[list] = [[], [], [], [], []]
+            for address, page in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                host = _host(address)
+                if not host or not page:
+                    continue
+                found = blocks(page, places)
+                number = _page(found)
+                counted = Counter((place, _block(place, text)) for place, _, text in found)
+                for (place, block), times in counted.items():
+                    for column, value in zip(columns, (host, number, place, block, times)):
+                        column.append(value)
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "place", "block", "times"]
+            )
 
     return pages.select(url, html).mapInArrow(run, "host string, page long, place long, block long, times long")
 
@@ -239,7 +238,13 @@ def _once(nodes: DataFrame) -> DataFrame:
 
 def importance(nodes: DataFrame) -> DataFrame:
     """(host, place, pages, host_pages, layout, importance) of each node; ``layout`` is the part of the presentation."""
-    return _rated(_once(nodes))
+    once = _once(nodes)
+    hosts = once.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_pages"))
+    return _rated(once).join(hosts, "host").select("host", "place", "pages", "host_pages", "layout", "importance")
+
+
+def _content(spread: Column) -> Column:
+    return CONTENT_WEIGHT * (1 - spread / F.when(F.col("pages") > 1, F.ln("pages")))
 
 
 def _rated(once: DataFrame) -> DataFrame:
@@ -252,62 +257,78 @@ def _rated(once: DataFrame) -> DataFrame:
     shape = shapes.groupBy("host", "place").agg(
         F.sum("n").alias("pages"), (F.ln(F.sum("n")) - F.sum(F.col("n") * F.ln("n")) / F.sum("n")).alias("variety")
     )
-    hosts = once.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_pages"))
-    joined = shape.join(content, ["host", "place"]).join(hosts, "host")
-    layout = (1 - CONTENT_WEIGHT) * F.col("variety") / _scale()
-    value = layout + _content(F.col("spread"))
-    return joined.select("host", "place", "pages", "host_pages", layout.alias("layout"), F.coalesce(value, F.lit(1.0)).alias("importance"))
+    layout = (1 - CONTENT_WEIGHT) * F.col("variety") / F.when(F.col("pages") > 1, F.ln("pages"))
+    value = F.coalesce(layout + _content(F.col("spread")), F.lit(1.0))
+    return shape.join(content, ["host", "place"]).select("host", "place", "pages", layout.alias("layout"), value.alias("importance"))
 
 
-def _scale() -> Column:
-    return F.when(F.col("pages") > 1, F.ln("pages"))
+def _careful(value: Column) -> Column:
+    """An importance together with that of the imagined pages."""
+    return (F.col("pages") * value + PRIOR) / (F.col("pages") + PRIOR)
 
 
-def _content(spread: Column) -> Column:
-    return CONTENT_WEIGHT * (1 - spread / _scale())
-
-
-def unimportant(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, low): the blocks that are removed from the pages of a host."""
-    once = _once(style_nodes(pages, url, html))
-    rated = _rated(once)
-    chosen = rated.where(
-        (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("host_pages")) & (F.col("importance") < LOW)
-    )
-    chosen = keep(chosen.select("host", "place", "pages", "layout"), "style-places")
+def unimportant(once: DataFrame) -> DataFrame:
+    """(host, block): the blocks that are removed from the pages of a host."""
+    chosen = keep(_rated(once).where(_careful(F.col("importance")) < LOW).select("host", "place", "pages", "layout"), "style-places")
     there = once.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen, ["host", "place"])
     shared = there.groupBy("host", "place", "block", "pages", "layout").agg(F.count("*").alias("n"))
-    low = shared.where(F.col("layout") + _content(F.ln("n")) < LOW)
-    return keep(low.groupBy("host").agg(F.collect_list("block").alias("low")), "style-low")
+    low = shared.where(_careful(F.col("layout") + _content(F.ln("n"))) < LOW)
+    return keep(low.select("host", "block").distinct(), "style-low")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            yield batch.slice(first, 500)
+
+
+def _with_low(pages: DataFrame, url: str, html: str, once: DataFrame, low: DataFrame) -> DataFrame:
+    """``pages`` with ``__low``, the removed blocks that a page has: joined by what the page holds, so no list grows with a host."""
+    address, body = pages.columns.index(url), pages.columns.index(html)
+    schema = StructType.fromDDL("__host string, __page long")
+    schema = StructType([*pages.schema.fields, *schema.fields])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = _Places()
+        for piece in _pieces(batches):
+            hosts = [_host(x) for x in piece.column(address).to_pylist()]
+            numbers = [_page(blocks(x or "", places)) for x in piece.column(body).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(hosts, pa.string()), pa.array(numbers, pa.int64())], schema.names)
+
+    held = once.join(low, ["host", "block"], "left_semi").groupBy("host", "page").agg(F.collect_set("block").alias("__low"))
+    held = held.withColumnsRenamed({"host": "__host", "page": "__page"})
+    return pages.mapInArrow(number, schema).join(held, ["__host", "__page"], "left").drop("__host", "__page")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``pages`` without the html, with ``text`` and ``n_chars``."""
     pages = pages.drop(*[c for c in RESULT if c not in (url, html)])
-    low = unimportant(pages, url, html)
+    once = _once(style_nodes(pages, url, html))
+    low = unimportant(once)
+    removed = low.count()
     carried = [c for c in pages.columns if c != html]
-    removed = low.agg(F.sum(F.size("low"))).first()[0] or 0
-    if removed:
-        named = pages.withColumn("__host", F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), _HOST.pattern, 1)))
-        low = low.withColumnRenamed("host", "__host").withColumnRenamed("low", "__low")
-        asked = named.join(F.broadcast(low) if removed <= BROADCAST_ROWS else low, "__host", "left").drop("__host")
-    else:
-        asked = pages.withColumn("__low", F.lit(None).cast("array<bigint>"))
-    asked = asked.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{html}`").alias("__html"), "__low")
+    asked = pages.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{html}`").alias("__html"))
     schema = extended(StructType([f for f in pages.schema.fields if f.name != html]), "text string, n_chars long")
+    n, address = len(carried), carried.index(url)
+    joined = removed > max(BROADCAST_ROWS, 0)
+    by_host: dict[str, set[int]] = {}
+    if joined:
+        asked = _with_low(asked, url, "__html", once, low)
+    else:
+        for row in low.collect():
+            by_host.setdefault(row["host"], set()).add(row["block"])
+    shared = pages.sparkSession.sparkContext.broadcast(by_host)  # bounded by BROADCAST_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                piece = batch.slice(first, 500)
-                n = piece.num_columns
-                texts = [
-                    main_text(blocks(page or "", places), set(given or ()))
-                    for page, given in zip(piece.column(n - 2).to_pylist(), piece.column(n - 1).to_pylist())
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[: n - 2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names
-                )
+        for piece in _pieces(batches):
+            if joined:
+                given = [set(x or ()) for x in piece.column(n + 1).to_pylist()]
+            else:
+                given = [shared.value.get(_host(x), set()) for x in piece.column(address).to_pylist()]
+            texts = [main_text(blocks(page or "", places), low) for page, low in zip(piece.column(n).to_pylist(), given)]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns[:n], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names
+            )
 
     return asked.mapInArrow(run, schema)

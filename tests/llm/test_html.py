@@ -82,6 +82,27 @@ def test_copies_count_once_and_unique_blocks_stay(spark):
         assert got[1000 + i] == f"T {i}" + (f" Own line {i}" if i % 10 == 0 else "")
 
 
+def test_templates_are_judged_at_any_share_and_number_of_pages(spark):
+    page = "<div class='t{0}'><p>Line of all pages of template {0}.</p></div><section class='s{0}'><p>Story {1} of {0}.</p></section>"
+    rows = [(100 * k + i, "http://e.example/", page.format(k, i)) for k in range(3) for i in range(20)]
+    for size in range(2, 9):  # small hosts, one template each
+        rows += [(1000 * size + i, f"http://n{size}.example/", page.format(0, i)) for i in range(size)]
+    # a template of 6 pages on a host of 300
+    rows += [(50_000 + i, "http://f.example/", page.format(7, i) if i < 6 else page.format(8, i)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for limit in (h.BROADCAST_ROWS, -1):
+        h.BROADCAST_ROWS, before = limit, h.BROADCAST_ROWS
+        try:
+            got = {r["page_id"]: r["text"] for r in h.extract(pages).collect()}
+        finally:
+            h.BROADCAST_ROWS = before
+        assert all(got[100 * k + i] == f"Story {i} of {k}." for k in range(3) for i in range(20))
+        for size in range(2, 9):
+            line = "" if size >= 5 else "Line of all pages of template 0. "
+            assert all(got[1000 * size + i] == f"{line}Story {i} of 0." for i in range(size))
+        assert all(got[50_000 + i] == f"Story {i} of {7 if i < 6 else 8}." for i in range(300))
+
+
 def test_importance_by_hand(spark):
     rows = [("h", p, 1, 7, 1) for p in range(8)] + [("h", p, 2, 100 + p, 1 + p % 2) for p in range(8)]
     nodes = spark.createDataFrame(rows + rows, "host string, page long, place long, block long, times long")
