@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.anchors import mix
 from ordermill.llm.chunks import extended, pieces
+from ordermill.session import keep
 
 RESULT = ["lang_pred", "score", "rejected"]
 ORDER = 5
 SAMPLE_ROWS = 1_500
+RANGES, RANGE_ROWS = 1024, 50_000  # ranges of hashes in which the end of a sample is looked for: at least so many, of about so many rows
 CALIBRATION_PART = 5  # one in so many sampled rows calibrates
 REJECT_SHARE = 0.001
 UNKNOWN = "und"
@@ -206,18 +208,31 @@ def train(languages: list[str], packed: np.ndarray, language: np.ndarray, count:
     return Model(languages, grams, contexts, np.full(n, -np.log(alphabet), np.float32))
 
 
+def _candidates(hashes: DataFrame, sample_rows: int) -> DataFrame:
+    """Of the distinct (lang, h), those in the range of hashes where a language's sample ends, and how many are ``before``."""
+    ranges = max(RANGES, hashes.count() // RANGE_ROWS)
+    number = F.shiftright((F.shiftright("h", 32) + F.lit(1 << 31)) * F.lit(ranges), 32)
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = hashes.groupBy("lang", number.alias("range")).agg(F.count("*").alias("n"))
+    counts = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample_rows)
+    last = counts.groupBy("lang").agg(F.max("range").alias("range"), F.max("before").alias("before"))  # one row a language
+    return hashes.withColumn("range", number).join(F.broadcast(last), ["lang", "range"])
+
+
+def _tops(hashes: DataFrame, sample_rows: int) -> dict[str, int]:
+    """The largest hash of each language's sample."""
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    limits = _candidates(hashes, sample_rows).withColumn("n", rank).where(F.col("n") <= sample_rows)
+    return {r["lang"]: r["top"] for r in limits.groupBy("lang").agg(F.max("h").alias("top")).collect()}  # one row a language
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Models of the languages of ``labelled``; None if there is none."""
     body = F.col(f"`{text}`")
     rows = labelled.select(
         body.alias("text"), F.col(f"`{lang}`").alias("lang"), F.xxhash64(F.lit(11), F.col(f"`{id}`"), body).alias("h")
     ).where("text IS NOT NULL AND lang IS NOT NULL")
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    limits = (
-        rows.select("lang", "h").withColumn("n", F.dense_rank().over(by_hash)).where(F.col("n") <= sample_rows)
-        .groupBy("lang").agg(F.max("h").alias("top"))
-    )
-    tops = {r["lang"]: r["top"] for r in limits.collect()}  # one row a language
+    tops = _tops(keep(rows.select("lang", "h").distinct(), "language-hashes"), sample_rows)
     if not tops:
         return None
     languages = sorted(tops)

@@ -35,6 +35,17 @@ def test_defined_cases_and_rejection(spark):
     assert {r["lang_pred"] for r in language_id.predict(asked, None).collect()} == {"und"}
 
 
+def test_sample_ends_are_ranked_within_one_range_of_hashes(spark):
+    one = spark.range(20_000).select(F.lit("en").alias("lang"), F.xxhash64("id").alias("h"))
+    few = spark.range(50).select(F.lit("fr").alias("lang"), F.xxhash64("id").alias("h"))
+    hashes = one.union(few)
+    every = {name: sorted(r["h"] for r in hashes.collect() if r["lang"] == name) for name in ("en", "fr")}
+    for n in (1, 100, 1500, 19_999, 30_000):
+        assert language_id._tops(hashes, n) == {name: h[min(n, len(h)) - 1] for name, h in every.items()}
+        assert language_id._candidates(hashes, n).count() <= 100
+    assert language_id._tops(hashes.limit(0), 10) == {}
+
+
 def test_chances_add_up():
     """For any context, seen or not, the symbols and one unknown have probabilities that add up to one."""
     texts = pa.array(["abba cab", "bac abc abba", "cc b"])
