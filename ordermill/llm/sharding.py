@@ -10,6 +10,8 @@ first, largest first, each into the emptiest shard, and the tree splits the rest
 large group does not tip a median. A group stays whole if it fits a shard. Only where whole groups would overfill one,
 those above the next smaller of the ``OVERSIZE`` shares are dealt out in portions, as the law on sizes comes first.
 
+A text's coordinate is its position among the column's distinct texts, so texts that begin alike are told apart.
+
 A row's size is its text's UTF-8 bytes plus one, so a NULL or empty text counts one. NULL metadata sorts first. Repeated
 rows are a group like any equal texts, and each gets a slot of its own. Slots of a shard run from 0 without gaps. An
 empty table gives an empty result. All input columns but the text are carried; an input column named like a result
@@ -35,17 +37,30 @@ PORTION = 0.02
 CELLS = 1 << 16
 NEGLIGIBLE = 1e-4  # of a shard's bytes
 SLOT_ROWS = 50_000
+ORDER_ROWS = 250_000  # distinct texts that one task orders
+BROADCAST_BYTES = 8 << 20
 _COORDINATE_BITS, _HASH_BITS = 30, 32
 _KEY_BITS = _COORDINATE_BITS + _HASH_BITS
 
 
 def _coordinate(docs: DataFrame, name: str) -> Column:
-    """A metadata value as a number that keeps its order; of strings the first six bytes count."""
+    """A metadata value that is a number, or a text whose position is still to be found."""
     column = F.col(f"`{name}`")
-    if isinstance(docs.schema[name].dataType, NumericType):
-        return column.cast("double")
-    head = F.hex(F.substring(column.cast("string").cast("binary"), 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    return column.cast("double" if isinstance(docs.schema[name].dataType, NumericType) else "string")
+
+
+def _positions(docs: DataFrame, name: str) -> DataFrame:
+    """(value, position): the distinct texts of a column and their places in order, as doubles; no task orders them all."""
+    values = keep(docs.select(_coordinate(docs, name).alias("value")).where("value IS NOT NULL").distinct(), "shard-values")
+    size = values.agg(F.count("*").alias("rows"), F.sum(F.octet_length("value") + 16).alias("bytes")).first()
+    ranged = values.repartitionByRange(max(1, -(-size["rows"] // ORDER_ROWS)), "value").withColumn("part", F.spark_partition_id())
+    ranged = keep(ranged, "shard-ranges")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = ranged.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    found = ranged.withColumn("rank", rank).join(F.broadcast(before), "part")
+    found = found.select("value", (F.col("before") + F.col("rank")).cast("double").alias("position"))
+    return F.broadcast(found) if (size["bytes"] or 0) <= BROADCAST_BYTES else found
 
 
 def _inline(spark, rows: list[dict], schema: str) -> DataFrame:
@@ -136,11 +151,16 @@ def shard(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
         (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("crc"),
         F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(1), body).alias("k2"),
-        F.array(*[_coordinate(docs, m) for m in metadata]).alias("at"),
+        *[_coordinate(docs, m).alias(f"at{d}") for d, m in enumerate(metadata)],
         F.monotonically_increasing_id().alias("number"),
     )
-    rows = keep(rows, "shard-rows")
     dims = range(len(metadata))
+    for d in dims:
+        if not isinstance(docs.schema[metadata[d]].dataType, NumericType):
+            found = _positions(docs, metadata[d]).withColumnsRenamed({"value": f"at{d}", "position": f"place{d}"})
+            rows = rows.join(found, f"at{d}", "left").drop(f"at{d}").withColumnRenamed(f"place{d}", f"at{d}")
+    rows = rows.select("row", "size", "crc", "k1", "k2", F.array(*[F.col(f"at{d}") for d in dims]).alias("at"), "number")
+    rows = keep(rows, "shard-rows")
     groups = keep(
         rows.groupBy("k1", "k2").agg(F.sum("size").alias("bytes"), *[F.min(F.col("at")[d]).alias(f"x{d}") for d in dims]), "groups"
     )

@@ -72,6 +72,21 @@ def test_shards_are_close_in_metadata(spark):
     assert len(ends) >= 3 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+@pytest.mark.parametrize("limit,order_rows", [(8 << 20, 250_000), (-1, 7)])
+def test_texts_that_begin_alike_are_told_apart(spark, monkeypatch, limit, order_rows):
+    monkeypatch.setattr(sharding, "BROADCAST_BYTES", limit, raising=False)
+    monkeypatch.setattr(sharding, "ORDER_ROWS", order_rows, raising=False)
+    data = [(i, f"text {i:05}", f"https://source_{i * 7 % 40:02}.example/" if i % 41 else None) for i in range(4100)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    found = sharding.shard(docs, ["source"], shards=4).collect()
+    check(found, [(d[0], d[1]) for d in data], 4)
+    spans = defaultdict(list)
+    for r in found:
+        spans[r["shard"]].append(r["source"] or "")
+    ends = sorted((min(s), max(s)) for s in spans.values())
+    assert len(ends) == 4 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_few_rows_and_none(spark):
     docs = spark.createDataFrame([(1, "a", "x"), (2, "bb", "y"), (None, None, None)], "doc_id long, text string, source string")
     check(sharding.shard(docs, ["source"], shards=8).collect(), [(1, "a"), (2, "bb"), (None, None)], 8)
