@@ -1,10 +1,9 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup by prefix-partitioned windows. The dealt suffix tree is not built; see the README.
 
 The suffixes of all texts (of words, from sampled places, see ``anchors``) are split into groups by prefixes of variable
 length: the words of the anchor's gram, or for prefixes too frequent for one group the words of a whole window. Groups
-are dealt to parts of bounded memory. A part orders its suffixes; neighbours that agree to a depth of a whole window
-have an internal node at that depth or deeper above them. Leaves under such a deep node are repeated windows, and
-their runs are the maximal repeats, which ``removed`` lists by document.
+are dealt to parts of bounded memory. A part orders the hashes of its windows: equal neighbours are what would be
+leaves under a node at the depth of a whole window, i.e. repeated windows. ``removed`` lists their runs by document.
 
 Every word covered by a window that starts anywhere else too is removed, first occurrence included, judged on the
 input (``keep_first=True`` leaves the first occurrence by ``order``, then input order).
@@ -30,10 +29,10 @@ GRAM = 8
 
 
 def deep_leaves(names: np.ndarray, checks: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Leaves below an internal node at least a window deep, and the first leaf of each such node.
+    """Windows that stand elsewhere too, and the first of each group of equal ones, by their hashes.
 
-    In suffix order the leaves of a node are neighbours, and two neighbours share a node of window depth if they agree on
-    a whole window. ``times`` counts the suffixes that a leaf stands for.
+    A group is what would be the leaves below a node at the depth of a window; no tree is built. ``times`` counts the
+    suffixes that a window stands for.
     """
     by = np.argsort(names, kind="stable")
     deep = (names[by][1:] == names[by][:-1]) & (checks[by][1:] == checks[by][:-1])

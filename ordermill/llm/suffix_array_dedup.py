@@ -1,12 +1,10 @@
-"""Suffix-array dedup with longest-previous-factor arrays.
+"""Dedup of byte strings of ``length`` bytes. The dealt suffix array and longest previous factors are not built; see the README.
 
-Texts are bytes. In suffix order, with equal suffixes by position, the longest previous factor of a place is its longest
-common prefix with the nearest smaller position before or after it. Factors are told apart up to ``length`` bytes only:
-a place whose longest previous factor reaches ``length`` is a later copy, and a place that is the previous factor of
-another is an earlier one. Bytes of later copies are removed while the first one stays (``keep_first``), or both sides
+Texts are bytes. A place whose next ``length`` bytes stand at an earlier place too is a later copy, i.e. its longest
+previous factor would reach ``length``, and the earlier place is an earlier one. Hashes of the ``length`` bytes tell that. Bytes of later copies are removed while the first one stays (``keep_first``), or both sides
 (``keep_first=False``). Strings are judged on the input, matches never cross documents, overlaps count.
 
-Suffixes reach the parts that order them by the routes of ``repeats``: only places whose anchor occurs twice, split by
+Windows reach the parts that compare them by the routes of ``repeats``: only places whose anchor occurs twice, split by
 prefixes.
 
 Defined results: NULL and empty texts have zero bytes; shorter texts than ``length`` lose nothing; repeated rows are
@@ -33,8 +31,8 @@ GRAM = 64
 def previous_factors(names: np.ndarray, checks: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places that share a factor of full length with another place, and those of them without an earlier one.
 
-    ``names`` come in order of position, so among equal suffixes in suffix order the previous smaller position is the
-    neighbour before and the next one the neighbour behind. ``times`` counts places that hold the same context.
+    ``names`` are hashes in order of position, so after a stable sort the earlier one of equal windows is the neighbour
+    before and the later one the neighbour behind. ``times`` counts places that hold the same context.
     """
     by = np.argsort(names, kind="stable")
     same = (names[by][1:] == names[by][:-1]) & (checks[by][1:] == checks[by][:-1])
