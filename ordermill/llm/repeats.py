@@ -4,7 +4,8 @@ Round one counts the anchors' grams over all chunks. An anchor whose gram occurs
 Round two sends each repeated anchor's context, the stretch of text that holds its windows, to the part of its gram: the
 gram is the prefix by which suffixes are split into groups. Equal contexts of a chunk travel once, with the places
 where they stand. A prefix with more than ``group_rows`` occurrences would make too large a group; its windows are
-split by the longest prefix there is, the whole window, of which two 64-bit hashes are sent. So one key, source or
+split by the longest prefix there is, the whole window, of which two 64-bit hashes are sent, once for each chunk with the
+number of its occurrences and the first of them; the chunk applies the answer to all of its own. So one key, source or
 group of copies never fills a group, and nothing is left out.
 
 What a part does with the windows it holds is the caller's method: ``judge`` gets the windows' names in the order of
@@ -31,6 +32,7 @@ from ordermill.llm.chunks import (
 ANCHORS_PART_BYTES = 64 << 20
 CONTEXTS_PART_BYTES = 4 << 20
 GROUP_ROWS = 50_000
+_WINDOWS = 1 << 18  # that are hashed at once
 LAST = np.int64(2**63 - 1)
 
 
@@ -120,25 +122,31 @@ def _context_question(rows: pa.Table, answers: dict[int, bytes], task: Task, par
     sizes = found.last[hot] - found.first[hot] + 1
     at = np.repeat(found.first[hot] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
     first, second = (hash_spans(units.data, units.starts[at], units.ends[at + task.length - 1], k) for k in (0, 1))
-    by = np.argsort(first, kind="stable")
-    hot_order = np.repeat(order[hot], sizes)[by]
-    at, first, second = at[by], first[by], second[by]
+    hot_order = np.repeat(order[hot], sizes)
+    by = np.lexsort((at, hot_order, second, first))
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = (first[by][1:] != first[by][:-1]) | (second[by][1:] != second[by][:-1])
+    times = np.diff(np.append(np.flatnonzero(fresh), len(by)))
+    by = by[fresh]
+    at, first, second, hot_order = at[by], first[by], second[by], hot_order[by]
     empty = [np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)]
-    none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    none = [np.zeros(0, kind) for kind in _KINDS[5:]]
     for part in out:
         out[part] += none
     for part, a, b in slices_by_part(first, parts):
-        out[part] = out.get(part, [*empty, *none])[:5] + [pack_sorted(first[a:b]), second[a:b], at[a:b], hot_order[a:b]]
+        out[part] = out.get(part, [*empty, *none])[:5] + [pack_sorted(first[a:b]), second[a:b], at[a:b], hot_order[a:b], times[a:b]]
     return [(part, pack_arrays(*arrays)) for part, arrays in out.items()]
 
 
-_KINDS = (np.uint32, np.uint32, np.int64, np.int64, np.uint8, np.uint64, np.uint64, np.int64, np.int64)
+_KINDS = (np.uint32, np.uint32, np.int64, np.int64, np.uint8, np.uint64, np.uint64, np.int64, np.int64, np.int64)
 
 
 def _context_answer(bodies: list[bytes], task: Task, judge: Judge) -> list[bytes]:
-    """For each chunk, (first window, number of windows) of the runs to remove."""
+    """For each chunk, (first window, number of windows) of the runs to remove, and hashes of windows to remove all over the
+    chunk but at one place, if it is not negative."""
     messages = [unpack_arrays(b, *_KINDS) for b in bodies]
     removed: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in bodies]
+    wide = [[np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)] for _ in bodies]
 
     # contexts, equal ones of different chunks as one; occurrences (message, first window, order)
     numbers: dict[bytes, int] = {}
@@ -189,21 +197,23 @@ def _context_answer(bodies: list[bytes], task: Task, judge: Judge) -> list[bytes
     whose = np.repeat(np.arange(len(messages)), [len(m[5]) for m in messages])
     if len(whose):
         names = np.concatenate([unpack_sorted(m[5]) for m in messages])
-        checks, at, order = (np.concatenate([m[k] for m in messages]) for k in (6, 7, 8))
+        checks, at, order, times = (np.concatenate([m[k] for m in messages]) for k in (6, 7, 8, 9))
         by = np.lexsort((at, whose, order))
-        repeated, first = judge(names[by], checks[by], np.ones(len(by), np.int64))
-        mask = repeated & ~first if task.keep_first else repeated
-        gone = by[mask]
+        repeated, first = np.zeros(len(by), bool), np.zeros(len(by), bool)
+        repeated[by], first[by] = judge(names[by], checks[by], times[by])
+        stays = np.where(first & task.keep_first, at, -1)
+        gone = repeated & ((stays < 0) | (times > 1))
         for k in np.unique(whose[gone]):
-            mine = gone[whose[gone] == k]
-            removed[k].append((at[mine], np.ones(len(mine), np.int64)))
+            mine = gone & (whose == k)
+            wide[k] = [names[mine], checks[mine], stays[mine]]
 
     return [
         pack_arrays(
             np.concatenate([a for a, _ in runs]) if runs else np.zeros(0, np.int64),
             np.concatenate([n for _, n in runs]).astype(np.uint32) if runs else np.zeros(0, np.uint32),
+            pack_sorted(names), checks, stays,
         )
-        for runs in removed
+        for runs, (names, checks, stays) in zip(removed, wide)
     ]
 
 
@@ -218,16 +228,43 @@ def _runs(mask: np.ndarray, of: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     return of[hit[heads]], at[hit[heads]], sizes
 
 
-def removed_units(answers: dict[int, bytes], length: int, n: int) -> np.ndarray:
+def removed_units(answers: dict[int, bytes], length: int, units: Units) -> np.ndarray:
     """Mask of the units of a chunk that the windows in ``answers`` cover."""
-    change = np.zeros(n + 1, np.int64)
+    change = np.zeros(len(units.starts) + 1, np.int64)
+    wide = []
     for body in answers.values():
-        at, count = unpack_arrays(body, np.int64, np.uint32)
+        at, count, *found = unpack_arrays(body, np.int64, np.uint32, np.uint64, np.uint64, np.int64)
         np.add.at(change, at, 1)
         np.add.at(change, at + count.astype(np.int64) + length - 1, -1)
+        if len(found[0]):
+            wide.append((unpack_sorted(found[0]), *found[1:]))
+    if wide:
+        at = _occurrences(units, length, *(np.concatenate(x) for x in zip(*wide)))
+        np.add.at(change, at, 1)
+        np.add.at(change, at + length, -1)
     return np.cumsum(change[:-1]) > 0
 
 
+def _occurrences(units: Units, length: int, names: np.ndarray, checks: np.ndarray, stays: np.ndarray) -> np.ndarray:
+    """First units of the windows with these hashes, without the places that stay."""
+    by = np.lexsort((checks, names))
+    names, checks, stays = names[by], checks[by], stays[by]
+    every, found = anchors.windows(units.texts, length), [np.zeros(0, np.int64)]
+    for low in range(0, len(every), _WINDOWS):
+        at = every[low : low + _WINDOWS]
+        hashed = hash_spans(units.data, units.starts[at], units.ends[at + length - 1], 0)
+        place = np.searchsorted(names, hashed)
+        hit = np.flatnonzero(names[np.minimum(place, len(names) - 1)] == hashed)
+        at, hashed, place = at[hit], hashed[hit], place[hit]
+        check = hash_spans(units.data, units.starts[at], units.ends[at + length - 1], 1)
+        while len(at):  # a second time only if names are equal and checks are not
+            same = checks[place] == check
+            found.append(at[same & (stays[place] != at)])
+            on = ~same & (place + 1 < len(names)) & (names[np.minimum(place + 1, len(names) - 1)] == hashed)
+            at, hashed, place, check = at[on], hashed[on], place[on] + 1, check[on]
+    return np.concatenate(found)
+
+
 def spans_by_text(mask: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal removed runs within each text: offsets by text, and first and end unit within the text."""
     border = np.zeros(len(mask) + 1, bool)

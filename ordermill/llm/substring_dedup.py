@@ -66,7 +66,7 @@ def dedup(
 
     def result(number: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         units = Units.of_words(*text_buffer(rows, column))
-        gone = repeats.removed_units(answers, window, len(units.starts))
+        gone = repeats.removed_units(answers, window, units)
         sums = np.concatenate([[0], np.cumsum(gone)])
         for name, values in (
             ("n_words", pa.array(np.diff(units.texts), pa.int64())),

@@ -70,7 +70,7 @@ def dedup(
 
     def result(number: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         data, texts = text_buffer(rows, column)
-        gone = repeats.removed_units(answers, length, len(data))
+        gone = repeats.removed_units(answers, length, Units.of_bytes(data, texts))
         if whole_characters:
             gone = _whole(data, gone)
         sums = np.concatenate([[0], np.cumsum(gone)])

@@ -4,9 +4,13 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from ordermill.llm import substring_dedup, suffix_array_dedup
+from ordermill.llm import repeats, substring_dedup, suffix_array_dedup
+from ordermill.llm.anchors import Units
+from ordermill.llm.chunks import pack_arrays, unpack_arrays
 
 GAP = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,6 +79,19 @@ def test_bytes_against_brute_force(spark, seed, group_rows, chunk_bytes, keep_fi
         assert bytes(got[i]["kept"]) == bytes(b for b, g in zip(raw[i], gone) if not g)
 
 
+def test_frequent_windows_travel_once_a_chunk():
+    text = "one passage that very many documents of this chunk hold as it is"
+    rows = pa.table({"text": [text] * 500})
+    task = repeats.Task(0, -1, Units.of_words, True, 12, 4, False, group_rows=1)
+    keys = np.unique(repeats._units(rows, task)[1].keys)
+    answers = {0: pack_arrays(np.full(len(keys), 500, np.uint32))}
+    [(_, body)] = repeats._context_question(rows, answers, task, 1)
+    assert len(unpack_arrays(body, *repeats._KINDS)[5]) == len(text.split()) - 11
+    [answer] = repeats._context_answer([body], task, substring_dedup.deep_leaves)
+    units = repeats._units(rows, task)[0]
+    assert repeats.removed_units({0: answer}, 12, units).all()
+
+
 def test_empty_and_characters(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup.dedup(empty).count() == 0 and suffix_array_dedup.dedup(empty).count() == 0
