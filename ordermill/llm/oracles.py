@@ -82,8 +82,82 @@ judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept
 FROM judged"""
 
+SOURCE_DIVERGENCE = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+members AS (SELECT DISTINCT lang, source FROM docs),
+tokens AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM members LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+shares AS MATERIALIZED (
+    SELECT lang, source, term, coalesce(n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1) // (total + v) AS p
+    FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+by_term AS (SELECT lang, term, sum(n) AS n FROM shares GROUP BY lang, term),
+by_lang AS (SELECT lang, sum(n) AS total, count(*) AS v FROM by_term GROUP BY lang),
+whole AS (
+    SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 1) // (total + v) AS q
+    FROM by_term JOIN by_lang USING (lang)),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM members a JOIN members b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+FILTER_ORDERS = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+    FROM documents),
+firsts AS (SELECT t, min(doc_id) AS least FROM texts GROUP BY t),
+marks AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN least < doc_id THEN 'E' ELSE '' END AS mask
+    FROM texts JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+counted AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+gone AS (
+    SELECT part, mask, n, good, toxic, filter_order,
+           coalesce(list_min(list_transform(string_split(mask, ''), lambda x: CASE WHEN x <> '' THEN strpos(filter_order, x) END)), 9) AS lost
+    FROM counted, orders),
+steps AS (
+    SELECT part, filter_order, step, filter_order[step] AS f,
+           coalesce(sum(n) FILTER (lost > step), 0) AS kept, coalesce(sum(n) FILTER (lost = step), 0) AS removed,
+           coalesce(sum(n) FILTER (lost < step AND contains(mask, filter_order[step])), 0) AS redundant,
+           coalesce(sum(n) FILTER (mask = filter_order[step]), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (lost = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (lost = step), 0) AS toxic_lost
+    FROM gone, (SELECT unnest([1, 2, 3, 4, 5]) AS step) AS s GROUP BY part, filter_order, step)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM steps"""
+
 ORACLE = {
     "op1_substring_dedup": REPEATED_WINDOWS,
     "op2_decontamination": BENCHMARK_HITS,
     "op5_quality_rules": QUALITY,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
+    "op13_filter_audit": FILTER_ORDERS,
 }

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, decontamination, html_extraction, language_id, lm_scoring, quality_rules, sharding, simhash, substring_dedup, suffix_array_dedup
+from ordermill.llm import (
+    bpe, decontamination, filter_audit, html_extraction, language_id, lm_scoring, piece_bpe, quality_rules, sharding, simhash,
+    source_divergence, substring_dedup, suffix_array_dedup,
+)
 from ordermill.llm.oracles import ORACLE
 
 
@@ -99,6 +102,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def model_file(name: str = "piece_bpe_32k.model") -> bytes:
+    """Content of a SentencePiece model of the box."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = piece_bpe.encode(docs, model_file(), check="texts", digests=True)
+    return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=3, ranks=200)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -110,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
+    "op11_piece_bpe": op11_piece_bpe,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
