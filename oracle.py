@@ -308,7 +308,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderkey % 3 + 1 AS INTEG
 FROM orders""",
     "csv_sellers": """
 SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, printf('%05d', s_suppkey) AS seller_zip_code_prefix,
-       s_name || ', ' || CAST(s_nationkey AS VARCHAR) AS seller_city,
+       s_name || CASE WHEN s_suppkey % 4 = 1 THEN ',' || chr(10) || '"east", ' ELSE ', ' END || CAST(s_nationkey AS VARCHAR) AS seller_city,
        CASE WHEN s_nationkey <> 7 THEN CAST(s_nationkey AS VARCHAR) END AS seller_state
 FROM supplier""",
     "csv_reviews": """

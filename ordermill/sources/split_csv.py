@@ -20,6 +20,11 @@ _OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*
 EXTRA = "__extra_field"
 
 
+def ends_inside_quotes(line: Column) -> Column:
+    """Whether a line that begins outside quotes ends inside a quoted field."""
+    return line.contains('"') & line.rlike(_OPEN)
+
+
 def _state_before(begin: Column, window: Window) -> Column:
     """State before each row of ``window``'s order, if the group begins in state ``begin`` (0 outside, 1 inside).
 
@@ -35,26 +40,23 @@ def _state_before(begin: Column, window: Window) -> Column:
     return F.when(last.isNull(), (begin + turned) % 2).otherwise((last["state"] + turned - last["turned"]) % 2)
 
 
-def read_split_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_split_csv(spark: SparkSession, path: str, columns: list[str], files: Column | None = None) -> DataFrame:
     """All columns as text and ``EXTRA``, what a record has beyond them (NULL if nothing).
 
     A record with fewer fields has NULL for the rest. The first record of each file is its header and must name ``columns``
-    in this order.
+    in this order. ``files`` is a condition on ``_metadata`` that chooses files of a folder.
     """
+    text = spark.read.option("lineSep", "\n").text(path)
     inside = F.concat(F.lit('"'), "value").rlike(_OPEN).cast("int")
     outside = F.col("value").rlike(_OPEN).cast("int")
     # "\n" alone, so that "\r\n" inside a field stays as it is
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.when(outside == inside, outside).alias("fixed"),
-            F.when((outside == 1) & (inside == 0), 1).otherwise(0).alias("turns"),
-        )
+    lines = (text if files is None else text.filter(files)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        F.when(outside == inside, outside).alias("fixed"),
+        F.when((outside == 1) & (inside == 0), 1).otherwise(0).alias("turns"),
     )
     # what a whole block does to the state: one row per block
     in_block = Window.partitionBy(*_BLOCK).orderBy("line")

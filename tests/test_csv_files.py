@@ -170,6 +170,62 @@ def test_a_folder_with_other_headers_is_refused(spark, tmp_path, table):
         csv_files.read_csv(spark, str(folder), table).collect()
 
 
+@pytest.mark.parametrize("block", ["400", "1g"])
+@pytest.mark.parametrize("table", list(RAW_COLUMNS))
+def test_every_table_may_have_line_breaks_in_quoted_fields(spark, tmp_path, table, block):
+    columns = RAW_COLUMNS[table]
+    text = [c for c, kind in columns.items() if kind.typeName() == "string"]
+
+    def row(i):
+        odd = f"x{i},\n\n\"y\"\r\nz" if i % 3 == 0 else f"x {i}"
+        return [odd if c == text[-1] else f"k{i}" if c in text else "2018-01-01 00:00:00" if kind.typeName() == "timestamp_ntz" else str(i) for c, kind in columns.items()]
+
+    folder = tmp_path / "two files[1].csv"
+    folder.mkdir()
+    write_csv(folder / "broken {a}.csv", list(columns), [row(i) for i in range(30)])
+    write_csv(folder / "plain.csv", list(columns), [row(i) for i in range(31, 90) if i % 3])
+    with _blocks_of(spark, block):
+        path = str(folder).replace("[", "\\[").replace("]", "\\]")
+        assert [f.rsplit("/", 1)[1] for f in csv_files.split_files(spark, path)] in (["broken%20%7Ba%7D.csv"], ["broken {a}.csv"])
+        got = csv_files.read_csv(spark, path, table).collect()
+    want = sorted([row(i) for i in range(30)] + [row(i) for i in range(31, 90) if i % 3])
+    assert sorted([str(v) for v in (r[c] for c in text)] for r in got) == sorted([r[list(columns).index(c)] for c in text] for r in want)
+
+
+def test_a_lone_carriage_return_inside_quotes_is_text(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_bytes(b'seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01,"rio\rsul",RJ\ns2,02,sao,SP\n')
+    rows = {r["seller_id"]: tuple(r)[1:] for r in csv_files.read_csv(spark, str(path), "sellers").collect()}
+    assert rows == {"s1": ("01", "rio\rsul", "RJ"), "s2": ("02", "sao", "SP")}
+
+
+def test_files_without_such_lines_are_not_read_in_blocks(spark, tmp_path):
+    write_csv(tmp_path / "s.csv", list(RAW_COLUMNS["sellers"]), [["s1", "01", 'a "quoted", city', "RJ"], ["s2", "02", 'x"y', "SP"]])
+    assert csv_files.split_files(spark, str(tmp_path / "s.csv")) == []
+    plan = csv_files.read_csv(spark, str(tmp_path / "s.csv"), "sellers")._jdf.queryExecution().toString()
+    assert "Window" not in plan and "csv" in plan.lower()
+
+
+def test_many_files_with_line_breaks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "NAMED_FILES", 2)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(5):
+        write_csv(folder / f"{i}.csv", list(RAW_COLUMNS["sellers"]), [[f"s{i}", "01", "a\nb" if i else "c", "RJ"]])
+    rows = {r["seller_id"]: r["seller_city"] for r in csv_files.read_csv(spark, str(folder), "sellers").collect()}
+    assert rows == {"s0": "c", **{f"s{i}": "a\nb" for i in range(1, 5)}}
+
+
+def test_only_the_tables_asked_for_are_loaded(spark, tmp_path):
+    for name in ("sellers_dataset", "customers_dataset"):
+        table = name.split("_")[0]
+        write_csv(tmp_path / f"{name}.csv", list(RAW_COLUMNS[table]), [["1", "2", "3", "4", "5"][: len(RAW_COLUMNS[table])]])
+    lake = Lake(spark, str(tmp_path / "lake"))
+    report = csv_files.load_raw(spark, str(tmp_path), lake, tables=["sellers"]).collect()
+    assert [tuple(r) for r in report] == [("sellers", "loaded", 1)]
+    assert not lake.exists("raw", "customers")
+
+
 @contextmanager
 def _blocks_of(spark, size):
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
