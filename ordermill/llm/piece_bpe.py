@@ -6,8 +6,9 @@ new pairs with its neighbours, until none is left. Symbols outside the vocabular
 
 No merge crosses a place whose two neighbouring bytes stand next to each other in no piece. Texts are cut at these places
 in Arrow batches, and the agenda runs once for each distinct stretch that a Python worker meets (a memory of bounded size).
-The work is one pass without a shuffle. The library checks it in the same batches: whole texts, or the stretches that are
-new to the worker. A difference fails the query; it never passes as a result.
+The work is one pass without a shuffle. The library checks it in the same batches: the stretches that are new to the
+worker, each behind a character that joins with nothing, or whole texts, which costs as much again. A difference fails the
+query; it never passes as a result.
 
 The model is a parameter, read on the driver and shipped with the tasks; its size is fixed by its file. Only models that
 leave texts as they are (no normalization, spaces kept, a space put in front, byte fallback) are taken.

@@ -112,7 +112,7 @@ def model_file(name: str = "piece_bpe_32k.model") -> bytes:
 
 def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = piece_bpe.encode(docs, model_file(), check="texts", digests=True)
+    found = piece_bpe.encode(docs, model_file(), check="stretches", digests=True)
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
