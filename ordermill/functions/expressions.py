@@ -56,7 +56,12 @@ def sum_in_order(amount: str) -> str:
     Adds whole hundredths as bigint, several times faster than decimals and with a wider range than
     the decimal(18,2) of the result; overflow raises.
     """
-    return f"CAST(CAST(sum(bigint({amount} * 100)) AS decimal(20,0)) * 0.01 AS {ORDER_MONEY})"
+    return sum_of_cents(f"bigint({amount} * 100)")
+
+
+def sum_of_cents(number: str) -> str:
+    """SQL for the sum of whole hundredths within one order, as an amount."""
+    return f"CAST(CAST(sum({number}) AS decimal(20,0)) * 0.01 AS {ORDER_MONEY})"
 
 
 def distinct_list(text: Column) -> Column:

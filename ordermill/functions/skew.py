@@ -2,13 +2,14 @@
 
 The right sides met here are grouped by the join key, so they have one row per key; the left side may hold any number of
 rows per key. A plain shuffle join sends a hot key to a single task, and the adaptive planner cannot split it, because
-the grouped side brings its own partitioning. So rows of hot keys take a branch of their own: the matching right
-rows are broadcast and the left rows stay where they are. Looking for hot keys counts hashes of the key column. A left side that has one row per key itself needs none of this and is joined plainly.
+the grouped side brings its own partitioning. ``salted_join`` deals the rows of a hot key over as many salts as it has
+portions of ``HOT_ROWS`` rows, and copies the one right row once per salt. There is one plan for all sizes and any number
+of hot keys. A left side that has one row per key itself needs none of this and is joined plainly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,50 +18,38 @@ from ordermill.session import keep
 
 # A key is hot with more rows than this.
 HOT_ROWS = 1_000_000
-# Right rows of so many hot keys are broadcast. With more, no key holds much of the rows and the plain join is even.
-BROADCAST_KEYS = 100_000
-# A plan that scans no more than this fits one task, whatever its keys look like.
-SMALL_SCAN_BYTES = 64 * 1024 * 1024
 
-Build = Callable[[DataFrame, Sequence[DataFrame]], DataFrame]
 
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Hot keys of ``df`` with the number of their ``salts``, written to the scratch folder: at most rows / HOT_ROWS of them.
 
-def scan_bytes(df: DataFrame) -> int:
-    """Size of the files and tables that ``df`` reads, by Spark's own statistics."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame) -> bool:
-    return scan_bytes(df) <= SMALL_SCAN_BYTES
-
-
-def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
-    """Hashes (column ``hot``) of the keys that are hot in ``df``, written to the scratch folder; None without any.
-
-    Keys are counted by hash, so one number per key and task is shuffled. A key that shares a hot hash takes the branch of
-    the hot keys too, which changes nothing but its way.
+    Rows are counted per key and task before they are shuffled.
     """
-    counted = df.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("hot")).agg(F.count(F.lit(1)).alias("n_rows"))
-    hot = keep(counted.filter(F.col("n_rows") > HOT_ROWS).select("hot"), "hot_keys")
-    return hot if 0 < hot.count() <= BROADCAST_KEYS else None
-
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    salts = F.call_function("div", F.col("n_rows") - 1, F.lit(HOT_ROWS)) + 1
+    return keep(counted.filter(F.col("n_rows") > HOT_ROWS).select(key, salts.cast("int").alias("salts")), "hot_keys")
 
-def join_hot_apart(left: DataFrame, rights: Sequence[DataFrame], key: str, build: Build) -> DataFrame:
-    """``build(left, rights)``, with the hot keys of ``left`` in a broadcast branch.
 
-    ``build`` joins ``left`` with each of ``rights`` on ``key``; every right side has one row per key.
-    """
-    hot = None if is_small(left) else hot_keys(left, key)
-    if hot is None:
-        return build(left, rights)
+def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, sums: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """Inner join of ``left`` and ``right`` on ``key``: columns key, ``salt``, ``by``, ``sums`` and those of ``right``.
 
-    def chosen(rows: DataFrame, how: str) -> DataFrame:
-        return rows.join(F.broadcast(hot), F.xxhash64(rows[key]) == hot["hot"], how)
+    ``right`` has one row per key. ``left`` has the columns key, by and sums, and stands for its sums per key and by. Rows of
+    hot keys are added up by key and by, which takes care of a pair that very many rows share, and dealt over the salts of
+    their key by a hash of ``by``; so all rows of a pair have the same salt. All other rows go through one by one, salt 0.
 
-    most = build(chosen(left, "left_anti"), rights)
-    few = build(chosen(left, "left_semi"), [F.broadcast(chosen(r, "left_semi")) for r in rights])
-    return most.unionByName(few)
+    The list of hot keys is stored, so its size is known: Spark joins it by broadcast while it is below its threshold and
+    by a shuffle beyond, where nothing keeps the adaptive planner from splitting a hot key.
+    """
+    hot = hot_keys(left, key) if hot is None else hot
+    most = left.join(hot, key, "left_anti").select(key, F.lit(0).alias("salt"), by, *sums)
+    # one expression instead of three columns, so that a shuffle by the key alone does not count as good enough
+    pair = F.struct(key, by, "salts").alias("pair")
+    added = left.join(hot, key).groupBy(pair).agg(*[F.sum(c).alias(c) for c in sums])
+    salt = F.pmod(F.xxhash64(f"pair.{by}"), F.col("pair.salts")).cast("int").alias("salt")
+    few = added.select(f"pair.{key}", salt, f"pair.{by}", *sums)
+    salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    copies = right.join(hot, key, "left").select(*right.columns, F.explode(salts).alias("salt"))
+    return most.unionByName(few).join(copies, [key, "salt"])
 
 
 def left_lookup(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:

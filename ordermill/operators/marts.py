@@ -155,11 +155,11 @@ def reviews_by_category(
     weights = order_rows.join(reviews_by_order(reviews), "order_id").selectExpr(
         "order_id", "n_rows * n_reviews AS n", f"n_rows * ({SCORE_SUM}) AS score_sum"
     )
-    items = order_items.select("order_id", "product_id")
-    weighed = skew.join_hot_apart(
-        items, [weights], "order_id", lambda rows, sides: rows.join(sides[0], "order_id").drop("order_id")
+    items = order_items.selectExpr("order_id", "product_id", "1L AS n_items")
+    weighed = skew.salted_join(items, weights, "order_id", "product_id", ["n_items"])
+    by_product = weighed.groupBy("product_id").agg(
+        F.sum(F.col("n_items") * F.col("n")).alias("n"), F.sum(F.col("n_items") * F.col("score_sum")).alias("score_sum")
     )
-    by_product = weighed.groupBy("product_id").agg(F.sum("n").alias("n"), F.sum("score_sum").alias("score_sum"))
     return (
         products.select("product_id", "category_english")
         .filter(F.col("category_english").isNotNull())

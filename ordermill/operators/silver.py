@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import skew
-from ordermill.functions.expressions import DAY_OF_WEEK, as_of_column, distinct_list, exact_avg, sum_in_order
+from ordermill.functions.expressions import DAY_OF_WEEK, as_of_column, distinct_list, exact_avg, sum_in_order, sum_of_cents
 from ordermill.operators.bronze import SENTIMENT
 from ordermill.schemas import ORDER_MONEY, TOTAL_MONEY
 
@@ -105,16 +105,11 @@ def silver_orders(
         f"{DAY_OF_WEEK.format('order_purchase_timestamp')} AS order_dow",
         "is_late_delivery",
     )
-    if skew.is_small(reviews):
-        rows = _one_row_per_review(skew.left_lookup(base, [*items, *pays, scores], "order_id"))
-    else:
-        wide = F.broadcast(scores.filter(F.col("n_reviews") > WIDE_ORDER))
-        most = skew.left_lookup(base, [*items, *pays, scores], "order_id")
-        most = most.filter(F.coalesce("n_reviews", F.lit(0)) <= WIDE_ORDER)
-        few = base.join(wide, "order_id")
-        for side in (*items, *pays):
-            few = few.join(side, "order_id", "left")
-        rows = _one_row_per_review(most).unionByName(_one_row_per_review_wide(few))
+    # both branches read the same shuffles; the second one ends as soon as no order turns out to be wide
+    sides = [*items, *pays]
+    most = skew.left_lookup(base, [scores, *sides], "order_id").filter(F.coalesce("n_reviews", F.lit(0)) <= WIDE_ORDER)
+    few = skew.left_lookup(base.join(scores.filter(F.col("n_reviews") > WIDE_ORDER), "order_id"), sides, "order_id")
+    rows = _one_row_per_review(most).unionByName(_one_row_per_review_wide(few))
 
     columns = list(base.columns)
     if items:
@@ -190,29 +185,22 @@ def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame)
         "n_rows * coalesce(n_reviews, 0L) AS score_weight",
         f"n_rows * coalesce({SCORE_SUM}, 0L) AS score_sum",
     )
-    items = order_items.select("order_id", "product_id", "price", "freight_value")
-
-    def per_order_and_product(rows: DataFrame, sides) -> DataFrame:
-        # rows arrive partitioned by order_id, so this grouping needs no shuffle of its own
-        sums = (
-            rows.join(sides[0], "order_id")
-            .groupBy("order_id", "product_id", "weight", "score_weight", "score_sum")
-            .agg(
-                F.expr(f"{sum_in_order('price')} AS price"),
-                F.expr(f"{sum_in_order('freight_value')} AS freight"),
-                F.expr("count(1) AS n"),
-            )
-        )
-        return sums.selectExpr(
-            "product_id",
-            "price * weight AS revenue",
-            "freight * weight AS freight",
-            "n * weight AS n",
-            "n * score_sum AS score_sum",
-            "n * score_weight AS score_n",
-        )
-
-    pairs = skew.join_hot_apart(items, [weights], "order_id", per_order_and_product)
+    items = order_items.selectExpr(
+        "order_id", "product_id", "bigint(price * 100) AS price", "bigint(freight_value * 100) AS freight", "1L AS n"
+    )
+    rows = skew.salted_join(items, weights, "order_id", "product_id", ["price", "freight", "n"])
+    # rows arrive partitioned by order_id and salt, so this grouping needs no shuffle of its own
+    by_pair = rows.groupBy("order_id", "salt", "product_id", "weight", "score_weight", "score_sum").agg(
+        F.expr(f"{sum_of_cents('price')} AS price"), F.expr(f"{sum_of_cents('freight')} AS freight"), F.sum("n").alias("n")
+    )
+    pairs = by_pair.selectExpr(
+        "product_id",
+        "price * weight AS revenue",
+        "freight * weight AS freight",
+        "n * weight AS n",
+        "n * score_sum AS score_sum",
+        "n * score_weight AS score_n",
+    )
     return pairs.groupBy("product_id").agg(
         # one row per order and product by now
         F.expr("count(1) AS total_orders"),

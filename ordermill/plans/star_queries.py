@@ -13,7 +13,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.functions.skew import is_small
 from ordermill.operators import gold, marts, quality, silver
 from ordermill.plans.lake import Lake, bronze_frame
 from ordermill.schemas import RAW_TABLES
@@ -64,11 +63,8 @@ class StarModels:
         )
 
     def daily(self) -> DataFrame:
-        orders = self.sold_orders
-        if not is_small(orders):
-            # read twice, for the sums and for the distinct customers
-            orders = keep(orders.drop("order_purchase_timestamp", "order_week", "order_month"), "silver_orders")
-        return gold.gold_revenue_daily(orders)
+        buyers = self.bronze("bronze_orders").selectExpr("to_date(order_purchase_timestamp) AS order_date", "customer_id")
+        return gold.gold_revenue_daily(self.sold_orders, buyers)
 
     def rfm(self) -> DataFrame:
         wanted = ["customer_id", "order_status", "order_date", "order_purchase_timestamp", "total_revenue"]

@@ -8,7 +8,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.functions import skew
 from ordermill.operators import gold, marts, quality
 from ordermill.plans import daily_run
 from ordermill.plans.lake import Lake
@@ -165,8 +164,7 @@ def test_large_rankings_use_no_single_task(spark, lake):
     assert "Window" not in plan_of(scores) and "Exchange" not in plan_of(scores)
 
 
-def test_no_join_forms_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
+def test_no_join_forms_all_pairs(spark):
     models = StarModels(spark, SF_DIR)
     for df in (models.products(), models.review_scores(), models.customers()):
         assert "CartesianProduct" not in plan_of(df) and "BroadcastNestedLoopJoin" not in plan_of(df)

@@ -49,7 +49,6 @@ LARGE = [
 
 @pytest.mark.parametrize("name", LARGE)
 def test_matches_sql_with_hot_keys(spark, db, name, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
     monkeypatch.setattr(skew, "HOT_ROWS", 8)
     monkeypatch.setattr(silver, "WIDE_ORDER", 1)
     monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 20)

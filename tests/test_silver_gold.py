@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from contextlib import contextmanager
 from datetime import datetime
 from decimal import Decimal
 
@@ -69,8 +71,7 @@ def shop(raw):
 def limits(request, monkeypatch):
     """The plain branches, and those for hot keys and wide orders."""
     if request.param == "large":
-        monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
-        monkeypatch.setattr(skew, "HOT_ROWS", 0)
+        monkeypatch.setattr(skew, "HOT_ROWS", 1)
         monkeypatch.setattr(silver, "WIDE_ORDER", 2)
 
 
@@ -308,25 +309,88 @@ def test_hot_keys(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 300)
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     # a third hot, a third unknown, the rest single rows
-    hashed = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert [r["hot"] for r in skew.hot_keys(df, "k").collect()] == [hashed]
-    assert skew.hot_keys(df.filter(F.col("k") != "hot"), "k") is None
-    assert skew.hot_keys(df.filter(F.col("k").isNull()), "k") is None
+    assert [tuple(r) for r in skew.hot_keys(df, "k").collect()] == [("hot", 2)]
+    assert skew.hot_keys(df.filter(F.col("k") != "hot"), "k").count() == 0
+    assert skew.hot_keys(df.filter(F.col("k").isNull()), "k").count() == 0
 
 
 def test_a_key_with_a_small_share_is_hot_too(spark, monkeypatch):
     """More rows than the limit, but less than a thousandth of all rows."""
     monkeypatch.setattr(skew, "HOT_ROWS", 40)
     df = spark.range(100_000).select(F.when(F.col("id") % 1990 == 7, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    hashed = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert [r["hot"] for r in skew.hot_keys(df, "k").collect()] == [hashed]
-
-
-def test_hot_lookup_keeps_every_row(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_SCAN_BYTES", -1)
-    monkeypatch.setattr(skew, "HOT_ROWS", 300)
-    left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
-    right = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k string, v int")
-    apart = skew.join_hot_apart(left, [right], "k", lambda rows, sides: rows.join(sides[0], "k", "left"))
-    assert "Union" in apart._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(map(str, apart.collect())) == sorted(map(str, left.join(right, "k", "left").select(apart.columns).collect()))
+    assert [tuple(r) for r in skew.hot_keys(df, "k").collect()] == [("hot", 2)]
+
+
+def _skewed(spark, n):
+    """A third of the rows has one key and a value each, a ninth one key and one value; the rest are keys of five rows."""
+    k = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 9 == 1, "pair").when(F.col("id") % 9 == 2, F.lit(None)).otherwise((F.col("id") / 5).cast("int").cast("string"))
+    left = spark.range(n).select(k.alias("k"), F.when(k == "pair", "p").otherwise(F.concat(F.lit("v"), "id")).alias("v"), F.col("id").alias("a"), F.lit(1).cast("long").alias("n"))
+    right = left.select("k").distinct().filter("k <> '7'").withColumn("w", F.length("k")).withColumn("x", F.lit("y"))
+    return left, right.union(spark.createDataFrame([("absent", 1, "y")], right.schema))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("limit", [1, 100, 10**6])
+def test_salted_join_equals_a_plain_one(spark, monkeypatch, limit, broadcast):
+    monkeypatch.setattr(skew, "HOT_ROWS", limit)
+    left, right = _skewed(spark, 3_000)
+    sums = [F.sum("a").alias("a"), F.sum("n").alias("n")]
+    want = left.join(right, "k").groupBy("k", "v", "w", "x").agg(*sums)
+    with _broadcast(spark, broadcast):
+        got = skew.salted_join(left, right, "k", "v", ["a", "n"]).groupBy("k", "v", "w", "x").agg(*sums)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_salted_join_deals_hot_keys_and_keeps_pairs_together(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    left, right = _skewed(spark, 9_000)
+    rows = skew.salted_join(left, right, "k", "v", ["a", "n"])
+    by_salt = {(r["k"], r["salt"]): r["count"] for r in rows.filter("k IN ('hot', 'pair')").groupBy("k", "salt").count().collect()}
+    hot = [n for (k, _), n in by_salt.items() if k == "hot"]
+    assert len(hot) == 30 and max(hot) < 200 and sum(hot) == 3_000
+    assert [n for (k, _), n in by_salt.items() if k == "pair"] == [1]  # added up before the join
+    assert rows.filter("k NOT IN ('hot', 'pair')").agg(F.max("salt")).first()[0] == 0
+
+
+def test_very_many_hot_keys_are_all_split(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 2)
+    left = spark.range(600_000).select((F.col("id") % 200_000).cast("string").alias("k"), F.col("id").cast("string").alias("v"), F.lit(1).cast("long").alias("n"))
+    right = spark.range(200_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("w"))
+    hot = skew.hot_keys(left, "k")
+    assert hot.count() == 200_000 and hot.agg(F.min("salts"), F.max("salts")).first()[:] == (2, 2)
+    rows = skew.salted_join(left, right, "k", "v", ["n"], hot)
+    split = rows.groupBy("k").agg(F.countDistinct("salt").alias("salts"), F.sum("n").alias("n"))
+    found = split.agg(F.count(F.lit(1)), F.min("n"), F.max("n"), F.sum((F.col("salts") == 2).cast("int"))).first()
+    # of three rows, all fall on one of two salts in a quarter of the cases
+    assert tuple(found)[:3] == (200_000, 3, 3) and 145_000 < found[3] < 155_000
+
+
+def test_the_plan_is_one_for_all_sizes_and_needs_no_hint(spark):
+    left, right = _skewed(spark, 1_000)
+    plan = skew.salted_join(left, right, "k", "v", ["a", "n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "hint" not in plan.lower()
+
+
+def test_wide_orders_read_the_shuffles_of_the_others(spark, shop, limits):
+    rows = silver.silver_orders(shop["orders"], shop["items"], shop["payments"], shop["reviews"])
+    rows.write.format("noop").mode("overwrite").save()
+    with _broadcast(spark, False):
+        df = silver.silver_orders(shop["orders"], shop["items"], shop["payments"], shop["reviews"])
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    made = [line for line in final.splitlines() if re.search(r"\bExchange hashpartitioning\(order_id#\d+, \d+\)", line) and "Reused" not in line]
+    assert len(made) == 4  # orders, items, payments, reviews
+
+
+@contextmanager
+def _broadcast(spark, allowed):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "10m" if allowed else "-1")
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
