@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import skew
 from ordermill.operators import bronze, gold, marts, silver
+from ordermill.plans.star_queries import StarModels
 from ordermill.session import keep
 
 AS_OF = "2018-09-01 00:00:00"
@@ -371,16 +372,16 @@ def test_the_plan_is_one_for_all_sizes_and_needs_no_hint(spark):
     assert "Union" in plan and "hint" not in plan.lower()
 
 
-def test_wide_orders_read_the_shuffles_of_the_others(spark, shop, limits):
-    rows = silver.silver_orders(shop["orders"], shop["items"], shop["payments"], shop["reviews"])
-    rows.write.format("noop").mode("overwrite").save()
+def test_wide_orders_read_the_shuffles_of_the_others(spark, monkeypatch):
+    monkeypatch.setattr(silver, "WIDE_ORDER", 1)
     with _broadcast(spark, False):
-        df = silver.silver_orders(shop["orders"], shop["items"], shop["payments"], shop["reviews"])
+        df = StarModels(spark, "/root/testdata/sf0.001").orders()
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    made = [line for line in final.splitlines() if re.search(r"\bExchange hashpartitioning\(order_id#\d+, \d+\)", line) and "Reused" not in line]
-    assert len(made) == 4  # orders, items, payments, reviews
+    exchanges = [line for line in final.splitlines() if re.search(r"\bExchange hashpartitioning\(order_id#\d+, \d+\)", line)]
+    assert len([line for line in exchanges if "Reused" not in line]) == 4  # orders, items, payments, reviews
+    assert len(exchanges) == 8
 
 
 @contextmanager
