@@ -1,13 +1,18 @@
 """Exact NTILE and RANK over a whole table, or over groups that may be huge.
 
-A window without partitions, or with one huge partition, runs in a single task. Here no task orders more rows than fit a
-bucket, however many there are, and the plan is the same for any size.
+A window without partitions, or with one huge partition, runs in a single task. Here keys from one sample cut each order into
+buckets, one count per bucket tells how many rows lie before it, and no task orders more than one bucket. A bucket is a pure
+function of the row, so nothing needs to be stored in between, and there is one plan for all sizes: a count, a sample, the
+counts per bucket, and the result. Any cuts give the exact result; they only decide how even the buckets are.
 
-NTILE needs the last row of each tile. Sampled cut points divide the rows into buckets, one count per bucket tells in
-which one the row lies, and a bucket that is still too large is cut again. Only the last buckets are sorted.
+A key that a cut hits is a bucket of its own. A value that many rows share is hit for sure, and its rows need no order.
 
-RANK depends on the value alone, so values are counted first, which takes care of values that very many rows share. The
-distinct values are dealt out by ranges; a running sum within each range and one over the ranges give the ranks.
+NTILE takes the row with which a tile ends from the bucket that holds it; then every row compares its key with these few.
+The table is neither shuffled nor sorted.
+
+RANK is worked out in place, with one shuffle by buckets for each order and no join: rows before the bucket, plus the rank
+within the bucket. For ranks within groups the keys begin with the group, and only the group that a bucket begins with can
+have rows before it.
 
 Both operators read their input several times, so callers pass a stored table.
 """
@@ -23,23 +28,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.session import keep
-
-# No task orders more rows than about this many.
+# About so many rows to a bucket, but no fewer and no more buckets of an order than these. The last is a limit for the
+# sample and the list of cuts; from ROWS_PER_BUCKET * MOST_BUCKETS rows on buckets grow with the table.
 ROWS_PER_BUCKET = 250_000
-# Cut points of one round; more rows take more rounds.
-CUTS = 2_048
-SAMPLES_PER_CUT = 32
+FEWEST_BUCKETS = 8
+MOST_BUCKETS = 16_384
+SAMPLES_PER_CUT = 16
 
 _VALUE = "decimal(38,2)"
-
-
-def _cuts(sample: list[tuple], n_buckets: int) -> list[tuple]:
-    """Up to ``n_buckets - 1`` different keys, evenly spread over the sampled ones."""
-    ordered = sorted(sample)
-    if not ordered:
-        return []
-    return sorted({ordered[i * len(ordered) // n_buckets] for i in range(1, n_buckets)})
+# In the order of the fields: the group, whether the value comes after NULL or before it, the value, and the id.
+_KEY = f"struct<g:string,after:int,value:{_VALUE},id:string>"
 
 
 def _literal(value, kind: str) -> Column:
@@ -47,8 +45,26 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, default=str)), kind)
 
 
-def _cuts_below(cuts: Column, n_cuts: int, key: Column) -> Column:
-    """How many of the sorted ``cuts`` are smaller than ``key``, by halving the range. Absent cuts are NULL."""
+def _key(group: str | None, value: str, descending: bool, nulls_first: bool, id_column: str | None) -> Column:
+    """Sort key, ascending: a descending value is negated."""
+    number = F.col(value).cast(_VALUE)
+    text = lambda c: F.lit(None).cast("string") if c is None else F.col(c).cast("string")
+    return F.struct(
+        text(group).alias("g"),
+        F.when(F.col(value).isNull(), 0 if nulls_first else 2).otherwise(1).alias("after"),
+        (-number if descending else number).cast(_VALUE).alias("value"),
+        text(id_column).alias("id"),
+    )
+
+
+def _order(key: tuple) -> tuple:
+    """Sorts keys as Spark does: NULL first, text by code points."""
+    g, after, value, row_id = key
+    return (g is not None, g or "", after, Decimal(0) if value is None else value, row_id or "")
+
+
+def _below(cuts: Column, n_cuts: int, key: Column) -> Column:
+    """How many of the sorted ``cuts`` are smaller than ``key``, by halving the range."""
     steps = [1 << i for i in reversed(range(n_cuts.bit_length()))]
     if not steps:
         return F.lit(0)
@@ -59,29 +75,53 @@ def _cuts_below(cuts: Column, n_cuts: int, key: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-# --- NTILE -------------------------------------------------------------------------------------
+class _Buckets:
+    """Buckets of one order: 2 * i before cut i, 2 * i + 1 for the key that is cut i."""
+
+    def __init__(self, cuts: list[tuple], key: Column) -> None:
+        self.cuts, self.key = cuts, key
+        self.size = [0] * (2 * len(cuts) + 1)
+        # rows of a bucket that belong to the group of the cut behind it
+        self.of_next_group = [0] * (2 * len(cuts) + 1)
+        listed = _literal([dict(zip(("g", "after", "value", "id"), c)) for c in cuts], f"array<{_KEY}>")
+        below = _below(listed, len(cuts), key)
+        behind = F.get(listed, below)
+        on_cut = behind.isNotNull() & ~(key < behind)
+        self.bucket = (below * 2 + on_cut.cast("int")).alias("bucket")
+        self.next_group = (behind.isNotNull() & behind["g"].eqNullSafe(key["g"])).alias("next")
+
+    def group_before(self) -> list[tuple[str | None, int]]:
+        """For each bucket the group it begins with, and how many rows of it lie before."""
+        found: list[tuple[str | None, int]] = [(None, 0)]
+        for b in range(1, len(self.size)):
+            g = self.cuts[(b - 1) // 2][0]
+            if b % 2 == 0:
+                found.append((g, found[-1][1] + self.size[b - 1]))
+            else:
+                earlier = found[-1][1] if b > 1 and found[-1][0] == g else 0
+                found.append((g, earlier + self.of_next_group[b - 1]))
+        return found
+
+
+def _bucketed(df: DataFrame, keys: list[Column], n_rows: int, rows_per_bucket: int | None) -> list[_Buckets]:
+    """Buckets of each order, counted."""
+    n_buckets = min(MOST_BUCKETS, max(FEWEST_BUCKETS, -(-n_rows // (rows_per_bucket or ROWS_PER_BUCKET))))
+    share = min(1.0, SAMPLES_PER_CUT * n_buckets / max(1, n_rows))
+    sample = df.sample(share, seed=17).select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).collect()
+    found = []
+    for i, key in enumerate(keys):
+        ordered = sorted((tuple(r[i]) for r in sample), key=_order)
+        cuts = {ordered[j * len(ordered) // n_buckets] for j in range(1, n_buckets)} if ordered else set()
+        found.append(_Buckets(sorted(cuts, key=_order), key))
+    # one row per order and input row, so that one job counts all
+    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("order"), b.bucket, b.next_group) for i, b in enumerate(found)])))
+    for r in tall.groupBy("order", "bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("next").alias("next")).collect():
+        found[r["order"]].size[r["bucket"]] = r["n"]
+        found[r["order"]].of_next_group[r["bucket"]] = r["next"]
+    return found
 
-_TILE_KEY = f"struct<after:int,value:{_VALUE},id:string>"
 
-
-def _tile_key(value: str, descending: bool, id_column: str) -> Column:
-    """Sort key with the id as last resort. NULL sorts last going up and first going down."""
-    number = F.col(value).cast(_VALUE)
-    after = F.when(F.col(value).isNull(), 0 if descending else 1).otherwise(1 if descending else 0)
-    return F.struct(
-        after.alias("after"),
-        (-number if descending else number).cast(_VALUE).alias("value"),
-        F.col(id_column).cast("string").alias("id"),
-    )
-
-
-def _as_tuple(key) -> tuple:
-    return (key["after"], Decimal(0) if key["value"] is None else key["value"], key["id"])
-
-
-def _as_json(key: tuple, null_after: int) -> dict:
-    after, value, row_id = key
-    return {"after": after, "value": None if after == null_after else value, "id": row_id}
+# --- NTILE -------------------------------------------------------------------------------------
 
 
 def tile_ends(n_rows: int, tiles: int) -> list[int]:
@@ -99,99 +139,43 @@ def add_ntiles(
 ) -> DataFrame:
     """Add an integer NTILE column for each entry ``name: (value column, descending)`` of ``scores``.
 
-    Ties are ordered by ``id_column``, which must be unique. Only the rows around the end of a tile are sorted, to find
-    the last row of the tile; then every row compares its key with those few rows. The table itself is neither shuffled
-    nor sorted.
+    NULL sorts last going up and first going down; ties are ordered by ``id_column``, which must be unique.
     """
-    names = list(scores)
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     n_rows = df.count()
-    keys = [_tile_key(value, descending, id_column) for value, descending in scores.values()]
-    null_after = [0 if descending else 1 for _, descending in scores.values()]
-    # one row per score and input row, so that one job serves all scores
-    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("score"), k.alias("key")) for i, k in enumerate(keys)])))
-
-    ends = sorted({e for e in tile_ends(n_rows, tiles) if e > 0})
-    spans = [_Span(i, end, n_rows) for i in range(len(names)) for end in ends]
-    whole: set[tuple] = set()  # rows that no key tells apart, if ids should repeat after all
-    while wide := sorted({s.bounds for s in spans if s.size > rows_per_bucket} - whole, key=repr):
-        _narrow(tall, spans, wide, null_after)
-        whole |= {s.bounds for s in spans} & set(wide)
-
-    last_rows = []
-    if spans:
-        bounds = sorted({s.bounds for s in spans}, key=repr)
-        order = Window.partitionBy("span").orderBy("key")
-        on_row = reduce(or_, [(F.col("span") == bounds.index(s.bounds)) & (F.col("row") == s.row) for s in spans])
-        inside = _in_spans(tall, bounds, null_after)
-        last_rows = inside.withColumn("row", F.row_number().over(order)).filter(on_row).collect()
-
+    keys = [_key(None, value, descending, descending, id_column) for value, descending in scores.values()]
+    orders = _bucketed(df, keys, n_rows, rows_per_bucket)
+    ends: list[list[tuple]] = [[] for _ in orders]
+    wanted: list[tuple[int, int, int]] = []  # order, bucket, row within the bucket
+    for i, order in enumerate(orders):
+        for end in sorted({e for e in tile_ends(n_rows, tiles) if e > 0}):
+            bucket = 0
+            while end > order.size[bucket]:
+                end -= order.size[bucket]
+                bucket += 1
+            if bucket % 2:
+                ends[i].append(order.cuts[bucket // 2])
+            else:
+                wanted.append((i, bucket, end))
+    for i, key in _rows_at(df, orders, wanted):
+        ends[i].append(key)
     added = []
-    for i, name in enumerate(names):
-        found = sorted(_as_tuple(r["key"]) for r in last_rows if r["score"] == i)
+    for (name, order), own in zip(zip(scores, orders), ends):
         # a row lies one tile further for every tile end below it
-        passed = [(_literal(_as_json(end, null_after[i]), _TILE_KEY) < keys[i]).cast("int") for end in found]
+        passed = [(_literal(dict(zip(("g", "after", "value", "id"), end)), _KEY) < order.key).cast("int") for end in own]
         added.append(sum(passed, F.lit(1)).cast("int").alias(name))
     return df.select("*", *added)
 
 
-class _Span:
-    """Rows of a score above ``low`` and up to ``high`` among which row number ``row`` ends a tile."""
-
-    def __init__(self, score: int, row: int, size: int) -> None:
-        self.score, self.row, self.size = score, row, size
-        self.low: tuple | None = None
-        self.high: tuple | None = None
-
-    @property
-    def bounds(self) -> tuple:
-        return self.score, self.low, self.high
-
-
-def _in_spans(tall: DataFrame, bounds: list[tuple], null_after: list[int]) -> DataFrame:
-    """The rows within ``bounds``, of which no two overlap, with the number of their span."""
-    number = F.lit(None).cast("int")
-    for n, (score, low, high) in enumerate(bounds):
-        inside = F.col("score") == score
-        if low is not None:
-            inside &= F.col("key") > _literal(_as_json(low, null_after[score]), _TILE_KEY)
-        if high is not None:
-            inside &= F.col("key") <= _literal(_as_json(high, null_after[score]), _TILE_KEY)
-        number = F.when(inside, n).otherwise(number)
-    return tall.withColumn("span", number).filter(F.col("span").isNotNull())
-
-
-def _narrow(tall: DataFrame, spans: list[_Span], wide: list[tuple], null_after: list[int]) -> None:
-    """Cut the ``wide`` spans at sampled keys, and move each tile end into the piece that holds it."""
-    sizes = {s.bounds: s.size for s in spans}
-    rows = _in_spans(tall, wide, null_after)
-    share = min(1.0, SAMPLES_PER_CUT * CUTS / min(sizes[b] for b in wide) / len(wide))
-    sampled = rows.sample(share, seed=17).select("span", "key").collect()
-    cuts = [
-        [c for c in _cuts([_as_tuple(r["key"]) for r in sampled if r["span"] == n], max(2, CUTS // len(wide))) if c != high]
-        for n, (_, _, high) in enumerate(wide)
-    ]
-    most = max(len(c) for c in cuts)
-    padded = [
-        [_as_json(c, null_after[wide[n][0]]) for c in cuts[n]] + [None] * ((1 << most.bit_length()) - len(cuts[n]))
-        for n in range(len(wide))
-    ]
-    all_cuts = _literal(padded, f"array<array<{_TILE_KEY}>>")
-    pieces = rows.withColumn("piece", _cuts_below(F.get(all_cuts, F.col("span")), most, F.col("key")))
-    counted = {
-        (r["span"], r["piece"]): r["n"] for r in pieces.groupBy("span", "piece").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    for span in spans:
-        if span.bounds not in wide:
-            continue
-        n = wide.index(span.bounds)
-        limits = [span.low, *cuts[n], span.high]
-        for piece in range(len(limits) - 1):
-            here = counted.get((n, piece), 0)
-            if span.row <= here:
-                span.low, span.high, span.size = limits[piece], limits[piece + 1], here
-                break
-            span.row -= here
+def _rows_at(df: DataFrame, orders: list[_Buckets], wanted: list[tuple[int, int, int]]) -> list[tuple[int, tuple]]:
+    """(order, key) of the wanted rows; only the buckets that hold them are sorted."""
+    if not wanted:
+        return []
+    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("order"), b.bucket, b.key.alias("key")) for i, b in enumerate(orders)])))
+    here = reduce(or_, [(F.col("order") == i) & (F.col("bucket") == b) for i, b in sorted({w[:2] for w in wanted})])
+    at = reduce(or_, [(F.col("order") == i) & (F.col("bucket") == b) & (F.col("row") == row) for i, b, row in wanted])
+    window = Window.partitionBy("order", "bucket").orderBy("key")
+    rows = tall.filter(here).withColumn("row", F.row_number().over(window)).filter(at).collect()
+    return [(r["order"], tuple(r["key"])) for r in rows]
 
 
 # --- RANK --------------------------------------------------------------------------------------
@@ -206,37 +190,19 @@ def add_ranks(
 
     The order is descending with NULL first; the group column is text.
     """
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    ranges = max(1, -(-df.count() * len(ranks) // rows_per_bucket))
-    kinds = [
-        F.struct(
-            F.lit(i).alias("kind"),
-            (F.col(group) if group else F.lit(None)).cast("string").alias("g"),
-            F.col(value).isNotNull().alias("after"),
-            F.col(value).cast(_VALUE).alias("value"),
-        )
-        for i, (value, group) in enumerate(ranks.values())
-    ]
-    values = df.select(F.inline(F.array(*kinds))).groupBy("kind", "g", "after", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = values.repartitionByRange(ranges, "kind", "g", "after", F.col("value").desc())
-    ranged = keep(ranged.withColumn("part", F.spark_partition_id()), "ranked_values")
-    # rows of the same group in the ranges before: one row per group and range
-    earlier = Window.partitionBy("kind", "g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = ranged.groupBy("kind", "g", "part").agg(F.sum("n").alias("n")).select(
-        "kind", F.col("g").alias("g_"), "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    )
-    in_range = Window.partitionBy("part", "kind", "g").orderBy("after", F.col("value").desc())
-    local = F.coalesce(F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    found = ranged.withColumn("local", local).alias("v").join(
-        before.alias("b"), F.expr("v.kind = b.kind AND v.part = b.part AND v.g <=> b.g_")
-    ).select("v.kind", "v.g", "v.value", (F.col("before") + F.col("local") + 1).cast("bigint").alias("found"))
+    keys = [_key(group, value, True, True, None) for value, group in ranks.values()]
+    limit = rows_per_bucket or ROWS_PER_BUCKET
     out = df
-    for i, (name, (value, group)) in enumerate(ranks.items()):
-        mine = found.filter(F.col("kind") == i).select(
-            F.col("g").alias("_g"), F.col("value").alias("_value"), F.col("found").alias(name)
-        )
-        same = F.col(value).cast(_VALUE).eqNullSafe(F.col("_value"))
-        if group:
-            same &= F.col(group).cast("string").eqNullSafe(F.col("_g"))
-        out = out.join(mine, same).drop("_g", "_value")
+    for name, order in zip(ranks, _bucketed(df, keys, df.count(), rows_per_bucket)):
+        before = order.group_before()
+        # rows of one key all have the same rank, so they may be ranked anywhere
+        salts = [-(-n // limit) if b % 2 else 1 for b, n in enumerate(order.size)]
+        bucket = F.col("__bucket")
+        salt = F.monotonically_increasing_id() % F.greatest(F.lit(1), F.get(_literal(salts, "array<bigint>"), bucket))
+        placed = out.withColumns({"__key": order.key, "__bucket": order.bucket}).withColumn("__salt", salt)
+        within = Window.partitionBy("__bucket", "__salt", "__key.g").orderBy("__key.after", "__key.value")
+        first = F.get(_literal([g for g, _ in before], "array<string>"), bucket)
+        earlier = F.when(first.eqNullSafe(F.col("__key.g")), F.get(_literal([n for _, n in before], "array<bigint>"), bucket))
+        rank = (F.rank().over(within) + F.coalesce(earlier, F.lit(0))).cast("bigint")
+        out = placed.withColumn(name, rank).drop("__key", "__bucket", "__salt")
     return out.select(*df.columns, *ranks)
