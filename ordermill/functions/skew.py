@@ -3,8 +3,8 @@
 The right sides met here are grouped by the join key, so they have one row per key; the left side may hold any number of
 rows per key. A plain shuffle join sends a hot key to a single task, and the adaptive planner cannot split it, because
 the grouped side brings its own partitioning. ``salted_join`` deals the rows of a hot key over as many salts as it has
-portions of ``HOT_ROWS`` rows, and copies the one right row once per salt. There is one plan for all sizes and any number
-of hot keys. A left side that has one row per key itself needs none of this and is joined plainly.
+portions of ``HOT_ROWS`` rows, and copies the one right row once per salt. The size of a table decides nothing; whether a
+key is hot does, and there may be any number of them. A left side that has one row per key itself needs none of this and is joined plainly.
 """
 
 from __future__ import annotations
@@ -20,14 +20,15 @@ from ordermill.session import keep
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Hot keys of ``df`` with the number of their ``salts``, written to the scratch folder: at most rows / HOT_ROWS of them.
+def hot_keys(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Keys of ``df`` with more than ``limit`` rows and the number of their ``salts``, written to the scratch folder.
 
-    Rows are counted per key and task before they are shuffled.
+    There are at most rows / limit of them. Rows are counted per key and task before they are shuffled.
     """
+    limit = HOT_ROWS if limit is None else limit
     counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    salts = F.call_function("div", F.col("n_rows") - 1, F.lit(HOT_ROWS)) + 1
-    return keep(counted.filter(F.col("n_rows") > HOT_ROWS).select(key, salts.cast("int").alias("salts")), "hot_keys")
+    salts = F.call_function("div", F.col("n_rows") - 1, F.lit(limit)) + 1
+    return keep(counted.filter(F.col("n_rows") > limit).select(key, salts.cast("int").alias("salts")), "hot_keys")
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, sums: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
@@ -38,9 +39,13 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, sums: Sequ
     their key by a hash of ``by``; so all rows of a pair have the same salt. All other rows go through one by one, salt 0.
 
     The list of hot keys is stored, so its size is known: Spark joins it by broadcast while it is below its threshold and
-    by a shuffle beyond, where nothing keeps the adaptive planner from splitting a hot key.
+    by a shuffle beyond, where nothing keeps the adaptive planner from splitting a hot key. Where no key is hot, at any
+    number of rows, nothing is to be dealt, and the join can use the layout of stored tables. ``hot`` is the list for
+    callers that have it; it may name more keys than are hot.
     """
     hot = hot_keys(left, key) if hot is None else hot
+    if hot.isEmpty():
+        return left.select(key, F.lit(0).alias("salt"), by, *sums).join(right, key)
     most = left.join(hot, key, "left_anti").select(key, F.lit(0).alias("salt"), by, *sums)
     # one expression instead of three columns, so that a shuffle by the key alone does not count as good enough
     pair = F.struct(key, by, "salts").alias("pair")

@@ -145,18 +145,20 @@ def reviews_by_category(
     products: DataFrame,
     min_count: int = 100,
     top: int = 12,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Mean review score of categories with more than ``min_count`` rows, best first.
 
     A row is a review with a row of ``silver_orders`` of its order and an item of its order. Reviews
-    and order rows are counted per order first, so these rows are never formed.
+    and order rows are counted per order first, so these rows are never formed. ``hot`` lists the orders with very many
+    items, if that list is there.
     """
     order_rows = orders.groupBy("order_id").agg(_count().alias("n_rows"))
     weights = order_rows.join(reviews_by_order(reviews), "order_id").selectExpr(
         "order_id", "n_rows * n_reviews AS n", f"n_rows * ({SCORE_SUM}) AS score_sum"
     )
     items = order_items.selectExpr("order_id", "product_id", "1L AS n_items")
-    weighed = skew.salted_join(items, weights, "order_id", "product_id", ["n_items"])
+    weighed = skew.salted_join(items, weights, "order_id", "product_id", ["n_items"], hot)
     by_product = weighed.groupBy("product_id").agg(
         F.sum(F.col("n_items") * F.col("n")).alias("n"), F.sum(F.col("n_items") * F.col("score_sum")).alias("score_sum")
     )

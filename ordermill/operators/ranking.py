@@ -28,12 +28,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# About so many rows to a bucket, but no fewer and no more buckets of an order than these. The last is a limit for the
-# sample and the list of cuts; from ROWS_PER_BUCKET * MOST_BUCKETS rows on buckets grow with the table.
+# About so many rows to a bucket. Ranks have no fewer buckets of an order than these, so that several tasks share the work.
+# The last is a limit for the sample and the list of cuts; from 4 G rows on buckets grow with the table.
 ROWS_PER_BUCKET = 250_000
 FEWEST_BUCKETS = 8
 MOST_BUCKETS = 16_384
 SAMPLES_PER_CUT = 16
+FEW_CUTS = 32
 
 _VALUE = "decimal(38,2)"
 # In the order of the fields: the group, whether the value comes after NULL or before it, the value, and the id.
@@ -63,32 +64,47 @@ def _order(key: tuple) -> tuple:
     return (g is not None, g or "", after, Decimal(0) if value is None else value, row_id or "")
 
 
-def _below(cuts: Column, n_cuts: int, key: Column) -> Column:
-    """How many of the sorted ``cuts`` are smaller than ``key``, by halving the range."""
-    steps = [1 << i for i in reversed(range(n_cuts.bit_length()))]
-    if not steps:
-        return F.lit(0)
+def _placed(rows: DataFrame, cuts: Mapping[str, tuple[Column, int]]) -> DataFrame:
+    """``rows`` with ``__bucket<x>`` and ``__behind<x>``, the group of the next cut, for each ``__key<x>``.
 
-    def advance(found: Column, step: Column) -> Column:
-        return F.when(F.get(cuts, found + step - 1) < key, found + step).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    ``cuts`` has by x the sorted cuts, absent ones NULL, and their number. Few cuts are compared one by one. Among many the
+    range is halved, in one projection per step: that is compiled, while a lambda would be interpreted. Filters on the
+    bucket would multiply these steps; filter by keys instead.
+    """
+    most = max(n for _, n in cuts.values())
+    if most <= FEW_CUTS:
+        below = {
+            f"__below{x}": sum((F.when(F.get(own, F.lit(i)) < F.col(f"__key{x}"), 1).otherwise(0) for i in range(n)), F.lit(0))
+            for x, (own, n) in cuts.items()
+        }
+        rows = rows.withColumns(below)
+    else:
+        rows = rows.withColumns({f"__below{x}": F.lit(0) for x in cuts})
+        for step in [1 << i for i in reversed(range(most.bit_length()))]:
+            found = {x: F.col(f"__below{x}") for x in cuts}
+            rows = rows.withColumns(
+                {f"__below{x}": found[x] + F.when(F.get(own, found[x] + step - 1) < F.col(f"__key{x}"), step).otherwise(0) for x, (own, _) in cuts.items()}
+            )
+    added = {}
+    for x, (own, _) in cuts.items():
+        behind = F.get(own, F.col(f"__below{x}"))
+        # where a cut is not below the key and the key is not below the cut, they are equal
+        on_cut = F.coalesce(~(F.col(f"__key{x}") < behind), F.lit(False))
+        added |= {f"__bucket{x}": F.col(f"__below{x}") * 2 + on_cut.cast("int"), f"__behind{x}": behind["g"]}
+    return rows.withColumns(added)
 
 
 class _Buckets:
     """Buckets of one order: 2 * i before cut i, 2 * i + 1 for the key that is cut i."""
 
-    def __init__(self, cuts: list[tuple], key: Column) -> None:
-        self.cuts, self.key = cuts, key
-        self.size = [0] * (2 * len(cuts) + 1)
+    def __init__(self, cuts: list[tuple], n_rows: int = 0) -> None:
+        self.cuts = cuts
+        self.size = [n_rows] + [0] * (2 * len(cuts))
         # rows of a bucket that belong to the group of the cut behind it
         self.of_next_group = [0] * (2 * len(cuts) + 1)
-        listed = _literal([dict(zip(("g", "after", "value", "id"), c)) for c in cuts], f"array<{_KEY}>")
-        below = _below(listed, len(cuts), key)
-        behind = F.get(listed, below)
-        on_cut = behind.isNotNull() & ~(key < behind)
-        self.bucket = (below * 2 + on_cut.cast("int")).alias("bucket")
-        self.next_group = (behind.isNotNull() & behind["g"].eqNullSafe(key["g"])).alias("next")
+
+    def listed(self, length: int) -> list[dict | None]:
+        return [_as_json(c) for c in self.cuts] + [None] * (length - len(self.cuts))
 
     def group_before(self) -> list[tuple[str | None, int]]:
         """For each bucket the group it begins with, and how many rows of it lie before."""
@@ -103,21 +119,34 @@ class _Buckets:
         return found
 
 
-def _bucketed(df: DataFrame, keys: list[Column], n_rows: int, rows_per_bucket: int | None) -> list[_Buckets]:
+def _as_json(key: tuple) -> dict:
+    return dict(zip(("g", "after", "value", "id"), key))
+
+
+def _tall(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """One row ``order``, ``__key`` per order and input row, so that one job serves all orders."""
+    return df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("order"), k.alias("__key")) for i, k in enumerate(keys)])))
+
+
+def _bucketed(df: DataFrame, keys: list[Column], n_rows: int, rows_per_bucket: int | None, fewest: int) -> list[_Buckets]:
     """Buckets of each order, counted."""
-    n_buckets = min(MOST_BUCKETS, max(FEWEST_BUCKETS, -(-n_rows // (rows_per_bucket or ROWS_PER_BUCKET))))
+    n_buckets = min(MOST_BUCKETS, max(fewest, -(-n_rows // (rows_per_bucket or ROWS_PER_BUCKET))))
+    if n_buckets == 1:
+        return [_Buckets([], n_rows) for _ in keys]
     share = min(1.0, SAMPLES_PER_CUT * n_buckets / max(1, n_rows))
     sample = df.sample(share, seed=17).select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).collect()
     found = []
-    for i, key in enumerate(keys):
+    for i in range(len(keys)):
         ordered = sorted((tuple(r[i]) for r in sample), key=_order)
         cuts = {ordered[j * len(ordered) // n_buckets] for j in range(1, n_buckets)} if ordered else set()
-        found.append(_Buckets(sorted(cuts, key=_order), key))
-    # one row per order and input row, so that one job counts all
-    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("order"), b.bucket, b.next_group) for i, b in enumerate(found)])))
-    for r in tall.groupBy("order", "bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("next").alias("next")).collect():
-        found[r["order"]].size[r["bucket"]] = r["n"]
-        found[r["order"]].of_next_group[r["bucket"]] = r["next"]
+        found.append(_Buckets(sorted(cuts, key=_order)))
+    most = max(len(o.cuts) for o in found)
+    cuts = F.get(_literal([o.listed(most) for o in found], f"array<array<{_KEY}>>"), F.col("order"))
+    same = F.col("__behind").eqNullSafe(F.col("__key.g"))
+    counted = _placed(_tall(df, keys), {"": (cuts, most)}).groupBy("order", "__bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("next"))
+    for r in counted.collect():
+        found[r["order"]].size[r["__bucket"]] = r["n"]
+        found[r["order"]].of_next_group[r["__bucket"]] = r["next"]
     return found
 
 
@@ -143,7 +172,7 @@ def add_ntiles(
     """
     n_rows = df.count()
     keys = [_key(None, value, descending, descending, id_column) for value, descending in scores.values()]
-    orders = _bucketed(df, keys, n_rows, rows_per_bucket)
+    orders = _bucketed(df, keys, n_rows, rows_per_bucket, 1)
     ends: list[list[tuple]] = [[] for _ in orders]
     wanted: list[tuple[int, int, int]] = []  # order, bucket, row within the bucket
     for i, order in enumerate(orders):
@@ -156,26 +185,33 @@ def add_ntiles(
                 ends[i].append(order.cuts[bucket // 2])
             else:
                 wanted.append((i, bucket, end))
-    for i, key in _rows_at(df, orders, wanted):
+    for i, key in _rows_at(df, keys, orders, wanted):
         ends[i].append(key)
     added = []
-    for (name, order), own in zip(zip(scores, orders), ends):
+    for name, key, own in zip(scores, keys, ends):
         # a row lies one tile further for every tile end below it
-        passed = [(_literal(dict(zip(("g", "after", "value", "id"), end)), _KEY) < order.key).cast("int") for end in own]
+        passed = [(_literal(_as_json(end), _KEY) < key).cast("int") for end in own]
         added.append(sum(passed, F.lit(1)).cast("int").alias(name))
     return df.select("*", *added)
 
 
-def _rows_at(df: DataFrame, orders: list[_Buckets], wanted: list[tuple[int, int, int]]) -> list[tuple[int, tuple]]:
+def _rows_at(df: DataFrame, keys: list[Column], orders: list[_Buckets], wanted: list[tuple[int, int, int]]) -> list[tuple[int, tuple]]:
     """(order, key) of the wanted rows; only the buckets that hold them are sorted."""
     if not wanted:
         return []
-    tall = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("order"), b.bucket, b.key.alias("key")) for i, b in enumerate(orders)])))
-    here = reduce(or_, [(F.col("order") == i) & (F.col("bucket") == b) for i, b in sorted({w[:2] for w in wanted})])
-    at = reduce(or_, [(F.col("order") == i) & (F.col("bucket") == b) & (F.col("row") == row) for i, b, row in wanted])
-    window = Window.partitionBy("order", "bucket").orderBy("key")
-    rows = tall.filter(here).withColumn("row", F.row_number().over(window)).filter(at).collect()
-    return [(r["order"], tuple(r["key"])) for r in rows]
+    spans = sorted({w[:2] for w in wanted})
+    number = F.lit(None).cast("int")
+    for n, (i, bucket) in enumerate(spans):
+        inside = F.col("order") == i
+        if bucket:
+            inside &= F.col("__key") > _literal(_as_json(orders[i].cuts[bucket // 2 - 1]), _KEY)
+        if bucket < 2 * len(orders[i].cuts):
+            inside &= F.col("__key") < _literal(_as_json(orders[i].cuts[bucket // 2]), _KEY)
+        number = F.when(inside, n).otherwise(number)
+    at = reduce(or_, [(F.col("span") == spans.index(w[:2])) & (F.col("row") == w[2]) for w in wanted])
+    rows = _tall(df, keys).withColumn("span", number).filter(F.col("span").isNotNull())
+    rows = rows.withColumn("row", F.row_number().over(Window.partitionBy("span").orderBy("__key"))).filter(at).collect()
+    return [(r["order"], tuple(r["__key"])) for r in rows]
 
 
 # --- RANK --------------------------------------------------------------------------------------
@@ -192,17 +228,18 @@ def add_ranks(
     """
     keys = [_key(group, value, True, True, None) for value, group in ranks.values()]
     limit = rows_per_bucket or ROWS_PER_BUCKET
-    out = df
-    for name, order in zip(ranks, _bucketed(df, keys, df.count(), rows_per_bucket)):
+    orders = _bucketed(df, keys, df.count(), rows_per_bucket, FEWEST_BUCKETS)
+    cuts = {str(i): (_literal(o.listed(len(o.cuts)), f"array<{_KEY}>"), len(o.cuts)) for i, o in enumerate(orders)}
+    rows = _placed(df.withColumns({f"__key{i}": key for i, key in enumerate(keys)}), cuts)
+    salts, found = {}, []
+    for i, (name, order) in enumerate(zip(ranks, orders)):
+        bucket, group = F.col(f"__bucket{i}"), F.col(f"__key{i}.g")
         before = order.group_before()
         # rows of one key all have the same rank, so they may be ranked anywhere
-        salts = [-(-n // limit) if b % 2 else 1 for b, n in enumerate(order.size)]
-        bucket = F.col("__bucket")
-        salt = F.monotonically_increasing_id() % F.greatest(F.lit(1), F.get(_literal(salts, "array<bigint>"), bucket))
-        placed = out.withColumns({"__key": order.key, "__bucket": order.bucket}).withColumn("__salt", salt)
-        within = Window.partitionBy("__bucket", "__salt", "__key.g").orderBy("__key.after", "__key.value")
+        dealt = _literal([-(-n // limit) if b % 2 else 1 for b, n in enumerate(order.size)], "array<bigint>")
+        salts[f"__salt{i}"] = F.monotonically_increasing_id() % F.greatest(F.lit(1), F.get(dealt, bucket))
+        within = Window.partitionBy(bucket, f"__salt{i}", group).orderBy(f"__key{i}.after", f"__key{i}.value")
         first = F.get(_literal([g for g, _ in before], "array<string>"), bucket)
-        earlier = F.when(first.eqNullSafe(F.col("__key.g")), F.get(_literal([n for _, n in before], "array<bigint>"), bucket))
-        rank = (F.rank().over(within) + F.coalesce(earlier, F.lit(0))).cast("bigint")
-        out = placed.withColumn(name, rank).drop("__key", "__bucket", "__salt")
-    return out.select(*df.columns, *ranks)
+        earlier = F.when(first.eqNullSafe(group), F.get(_literal([n for _, n in before], "array<bigint>"), bucket))
+        found.append((F.rank().over(within) + F.coalesce(earlier, F.lit(0))).cast("bigint").alias(name))
+    return rows.withColumns(salts).select(*df.columns, *found)

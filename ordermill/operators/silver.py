@@ -83,9 +83,12 @@ def silver_orders(
     order_items: DataFrame | None,
     payments: DataFrame | None,
     reviews: DataFrame,
+    wide: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze orders with item, payment and review measures, date parts and status flags.
 
+    ``wide`` lists at least the orders with more than ``WIDE_ORDER`` reviews, for callers that have that list.
+
     A query that needs no item or no payment columns passes None for them and gets the same rows
     without these columns: Spark cannot know that such a join keeps the rows as they are.
     """
@@ -105,11 +108,16 @@ def silver_orders(
         f"{DAY_OF_WEEK.format('order_purchase_timestamp')} AS order_dow",
         "is_late_delivery",
     )
-    # both branches read the same shuffles; the second one ends as soon as no order turns out to be wide
     sides = [*items, *pays]
-    most = skew.left_lookup(base, [scores, *sides], "order_id").filter(F.coalesce("n_reviews", F.lit(0)) <= WIDE_ORDER)
-    few = skew.left_lookup(base.join(scores.filter(F.col("n_reviews") > WIDE_ORDER), "order_id"), sides, "order_id")
-    rows = _one_row_per_review(most).unionByName(_one_row_per_review_wide(few))
+    joined = skew.left_lookup(base, [*sides, scores], "order_id")
+    wide = skew.hot_keys(reviews, "order_id", WIDE_ORDER) if wide is None else wide
+    if wide.isEmpty():
+        rows = _one_row_per_review(joined)
+    else:
+        # both branches read the same shuffles
+        most = joined.filter(F.coalesce("n_reviews", F.lit(0)) <= WIDE_ORDER)
+        few = skew.left_lookup(base.join(scores.filter(F.col("n_reviews") > WIDE_ORDER), "order_id"), sides, "order_id")
+        rows = _one_row_per_review(most).unionByName(_one_row_per_review_wide(few))
 
     columns = list(base.columns)
     if items:
@@ -170,11 +178,11 @@ def silver_customers(customers: DataFrame, orders: DataFrame, as_of: str | datet
     )
 
 
-def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
+def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Per product over delivered orders: number of orders, revenue, mean price, freight, mean score.
 
     ``orders`` are the rows of ``silver_orders``. An item counts once for every pair of a delivered
-    row of its order and a review of its order.
+    row of its order and a review of its order. ``hot`` lists the orders with very many items, if that list is there.
     """
     delivered = (
         orders.filter("order_status = 'delivered'").groupBy("order_id").agg(F.expr("count(1) AS n_rows"))
@@ -188,7 +196,7 @@ def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame)
     items = order_items.selectExpr(
         "order_id", "product_id", "bigint(price * 100) AS price", "bigint(freight_value * 100) AS freight", "1L AS n"
     )
-    rows = skew.salted_join(items, weights, "order_id", "product_id", ["price", "freight", "n"])
+    rows = skew.salted_join(items, weights, "order_id", "product_id", ["price", "freight", "n"], hot)
     # rows arrive partitioned by order_id and salt, so this grouping needs no shuffle of its own
     by_pair = rows.groupBy("order_id", "salt", "product_id", "weight", "score_weight", "score_sum").agg(
         F.expr(f"{sum_of_cents('price')} AS price"), F.expr(f"{sum_of_cents('freight')} AS freight"), F.sum("n").alias("n")
@@ -212,13 +220,13 @@ def product_sales(order_items: DataFrame, orders: DataFrame, reviews: DataFrame)
 
 
 def silver_products(
-    products: DataFrame, order_items: DataFrame, orders: DataFrame, reviews: DataFrame
+    products: DataFrame, order_items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
     """Products with their sales measures, zero where a product was never delivered."""
     base = products.select(
         "product_id", "category_english", "category_portuguese", "product_photos_qty", "product_weight_g"
     )
-    sales = product_sales(order_items, orders, reviews)
+    sales = product_sales(order_items, orders, reviews, hot)
     return skew.left_lookup(base, [sales], "product_id").selectExpr(
         *base.columns,
         "coalesce(total_orders, 0L) AS total_orders",

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import gold, marts, quality, silver
+from ordermill.plans.journal import Journal, Table
 from ordermill.plans.lake import Lake
-from ordermill.schemas import BRONZE_TABLES, MARTS
-from ordermill.session import at_the_same_time, keep
-from ordermill.sources.csv_files import load_raw
+from ordermill.schemas import BRONZE_TABLES, MARTS, RAW_TABLES
+from ordermill.session import WRITERS, at_the_same_time, keep
+from ordermill.sources import csv_files
 
 LAYERS = ("bronze", "silver", "gold")
 # Fewest reviews of a category in the stored mart.
@@ -32,9 +33,13 @@ def build_bronze(lake: Lake) -> None:
 
 def _build_orders(lake: Lake) -> DataFrame:
     rows = silver.silver_orders(
-        lake.bronze("bronze_orders"), lake.bronze("bronze_order_items"), lake.bronze("bronze_payments"), lake.bronze("bronze_reviews")
+        lake.bronze("bronze_orders"),
+        lake.bronze("bronze_order_items"),
+        lake.bronze("bronze_payments"),
+        lake.bronze("bronze_reviews"),
+        lake.hot_orders("reviews"),
     )
-    return lake.write("silver", "silver_orders", rows)
+    return lake.write("silver", "silver_orders", rows, in_order=True)
 
 
 def _build_customers(lake: Lake, orders: DataFrame, as_of: str | datetime | None) -> DataFrame:
@@ -44,7 +49,11 @@ def _build_customers(lake: Lake, orders: DataFrame, as_of: str | datetime | None
 
 def _build_products(lake: Lake, orders: DataFrame) -> DataFrame:
     rows = silver.silver_products(
-        lake.bronze("bronze_products"), lake.bronze("bronze_order_items"), orders, lake.bronze("bronze_reviews")
+        lake.bronze("bronze_products"),
+        lake.bronze("bronze_order_items"),
+        orders,
+        lake.bronze("bronze_reviews"),
+        lake.hot_orders("order_items"),
     )
     return lake.write("silver", "silver_products", rows)
 
@@ -56,33 +65,59 @@ def build_silver(lake: Lake, as_of: str | datetime | None = None) -> None:
     at_the_same_time(lambda name: steps[name](), steps)
 
 
-def build_models(lake: Lake, as_of: str | datetime | None = None) -> None:
-    """All layers, each table as soon as those that it reads are there."""
+def build_models(lake: Lake, as_of: str | datetime | None = None, journal: Journal | None = None) -> None:
+    """All layers, each table as soon as those that it reads are there. With a journal, tables that are done stay."""
     _drop_marts(lake)
     build_bronze(lake)
-    orders = _build_orders(lake)
+
+    def table(layer: str, name: str, reads: Iterable[Table], build: Callable[[], DataFrame]) -> DataFrame:
+        return build() if journal is None else journal.table((layer, name), reads, build)
+
+    orders_of = [("raw", t) for t in ("orders", "order_items", "payments", "reviews")]
+    silver_orders, customers_of, products_of = ("silver", "silver_orders"), ("silver", "silver_customers"), ("silver", "silver_products")
+    orders = table(*silver_orders, orders_of, lambda: _build_orders(lake))
 
     def products() -> None:
-        lake.write("gold", "gold_product_performance", gold.gold_product_performance(_build_products(lake, orders)))
-
-    steps = {
-        "products": products,
-        "scores": lambda: keep(gold.rfm_scores(gold.rfm_base(orders, as_of)), "rfm_scores"),
-        "customers": lambda: _build_customers(lake, orders, as_of),
-        "daily": lambda: lake.write("gold", "gold_revenue_daily", gold.gold_revenue_daily(orders)),
-    }
-    with ThreadPoolExecutor(len(steps)) as pool:
-        running = {name: pool.submit(step) for name, step in steps.items()}
-        rows = gold.gold_customer_rfm(orders, running["customers"].result(), as_of, scores=running["scores"].result())
-        lake.write("gold", "gold_customer_rfm", rows)
-        for step in running.values():
+        reads = [silver_orders, ("raw", "products"), ("raw", "category_translation"), ("raw", "order_items"), ("raw", "reviews")]
+        found = table(*products_of, reads, lambda: _build_products(lake, orders))
+        write = lambda: lake.write("gold", "gold_product_performance", gold.gold_product_performance(found))
+        table("gold", "gold_product_performance", [products_of], write)
+
+    def daily() -> None:
+        table("gold", "gold_revenue_daily", [silver_orders], lambda: lake.write("gold", "gold_revenue_daily", gold.gold_revenue_daily(orders)))
+
+    def customers() -> DataFrame:
+        return table(*customers_of, [silver_orders, ("raw", "customers")], lambda: _build_customers(lake, orders, as_of))
+
+    def segments(found: Future, scores: Future) -> DataFrame:
+        rows = gold.gold_customer_rfm(orders, found.result(), as_of, scores=scores.result())
+        return lake.write("gold", "gold_customer_rfm", rows)
+
+    with ThreadPoolExecutor(WRITERS + 1) as pool:
+        found = pool.submit(customers)
+        running = [found, pool.submit(products), pool.submit(daily)]
+        # the scores are not stored, so they are worked out when they are asked for
+        scores = pool.submit(lambda: keep(gold.rfm_scores(gold.rfm_base(orders, as_of)), "rfm_scores")) if journal is None else None
+
+        def rfm() -> DataFrame:
+            own = scores or pool.submit(lambda: keep(gold.rfm_scores(gold.rfm_base(orders, as_of)), "rfm_scores"))
+            return segments(found, own)
+
+        if journal is None:
+            rfm()
+        else:
+            found.result()
+            journal.table(("gold", "gold_customer_rfm"), [silver_orders, customers_of], rfm)
+        for step in running:
             step.result()
 
 
 def _drop_marts(lake: Lake) -> None:
     """Marts of the tables before would be out of date."""
-    for mart in MARTS:
-        lake.drop("marts", mart)
+    lake.drop("marts")
+    for mart in MARTS:  # copied ones are tables of their own
+        if lake.exists("marts", mart):
+            lake.drop("marts", mart)
 
 
 def build_gold(lake: Lake, as_of: str | datetime | None = None) -> None:
@@ -137,13 +172,14 @@ def live_mart(lake: Lake, key: str, min_count: int = MIN_COUNT) -> DataFrame:
             lake.bronze("bronze_order_items"),
             lake.bronze("bronze_products"),
             min_count,
+            hot=lake.hot_orders("order_items"),
         )
     raise KeyError(f"no mart {key!r}, only {', '.join(MARTS)}")
 
 
 def export_marts(lake: Lake) -> None:
-    """Store all nine marts. Each is a small report, so it is written as one file."""
-    _write_all(lake, "marts", {k: lambda k=k: live_mart(lake, k).coalesce(1) for k in MARTS})
+    """Store all nine marts as one set. Each is a small report, so it is written as one file."""
+    lake.write_set("marts", {k: lambda k=k: live_mart(lake, k).coalesce(1) for k in MARTS})
 
 
 def get_mart(lake: Lake, key: str, min_count: int = MIN_COUNT) -> DataFrame:
@@ -167,13 +203,18 @@ def run_all(
 ) -> DataFrame:
     """Load, build all layers, check the raw tables, store the marts; returns the check report or raises QualityError.
 
-    "Now" is read once, so that all layers see the same. A failed check leaves the lake without stored marts.
+    "Now" is read once, so that all layers see the same. A failed check leaves the lake without stored marts. A run that
+    failed and is called again in the same way goes on from its journal: files that have not changed are not loaded again,
+    and tables whose inputs are still the same are not built again.
     """
     lake = Lake(spark, lake_root)
-    if as_of is None:
-        as_of = spark.range(1).select(F.localtimestamp()).first()[0]
-    load_raw(spark, csv_root, lake, stem_prefix).collect()
-    build_models(lake, as_of)
+    settings = {"csv_root": csv_root, "stem_prefix": stem_prefix, "as_of": None if as_of is None else str(as_of)}
+    journal = Journal(lake, settings)
+    now = journal.setting("as_of", lambda: str(spark.range(1).select(F.localtimestamp()).first()[0]))
+    raw = [("raw", t) for t in RAW_TABLES]
+    source = csv_files.source_state(spark, csv_root, stem_prefix)
+    journal.step("load", source, raw, lambda: csv_files.load_raw(spark, csv_root, lake, stem_prefix).collect())
+    build_models(lake, now, journal)
     checked = quality.quality_report(
         {t: lake.raw(t) for t in ("orders", "order_items", "customers", "products", "payments", "reviews")},
         min_orders,
@@ -181,4 +222,5 @@ def run_all(
     report = spark.createDataFrame(checked.collect(), checked.schema)  # twelve rows
     quality.enforce(report)
     export_marts(lake)
+    journal.finish()
     return report

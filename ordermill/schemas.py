@@ -80,6 +80,26 @@ RAW_COLUMNS: dict[str, dict[str, T.DataType]] = {
     },
 }
 
+# Widths of the text columns in a database. The text of reviews has none.
+TEXT_WIDTHS = {
+    "order_id": 50,
+    "customer_id": 50,
+    "order_status": 20,
+    "product_id": 50,
+    "seller_id": 50,
+    "customer_unique_id": 50,
+    "customer_zip_code_prefix": 10,
+    "customer_city": 100,
+    "customer_state": 5,
+    "product_category_name": 100,
+    "seller_zip_code_prefix": 10,
+    "seller_city": 100,
+    "seller_state": 5,
+    "payment_type": 30,
+    "review_id": 50,
+    "product_category_name_english": 100,
+}
+
 # The source data misspells two names; files that spell them right are accepted too.
 OTHER_SPELLINGS = {
     "product_name_lenght": "product_name_length",

@@ -8,8 +8,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ordermill.plans.lake import Lake
+from ordermill.schemas import TEXT_WIDTHS
 from ordermill.session import at_the_same_time
 
 REPORT = "table_name string, status string, n_rows bigint"
@@ -46,7 +48,28 @@ def copy_tables(tables: Mapping[str, DataFrame | None], target: str) -> DataFram
 def copy_lake(source: Lake, target: Lake) -> DataFrame:
     """Copy every table that ``source`` has; the report names those that it has not as skipped."""
     tables = {f"{layer}/{t}": source.read(layer, t) if source.exists(layer, t) else None for layer, t in source.tables()}
-    return copy_tables(tables, target.root)
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        # rows that lie in as many buckets arrive dealt by the key
+        return target.write(*name.split("/"), df, in_order=source.buckets_of(*name.split("/")) == target.buckets)
+
+    return _copy(tables, write)
+
+
+def jdbc_column_types(schema: StructType) -> str:
+    """Column types for making a target table, as Spark's JDBC writer takes them.
+
+    Text columns that have a declared width become VARCHAR of it; free text is left to the database's own text type.
+    """
+    kinds = []
+    for field in schema.fields:
+        kind = field.dataType.simpleString().upper()
+        if kind == "STRING":
+            if field.name not in TEXT_WIDTHS:
+                continue
+            kind = f"VARCHAR({TEXT_WIDTHS[field.name]})"
+        kinds.append(f"`{field.name}` {kind.replace('_NTZ', '')}")
+    return ", ".join(kinds)
 
 
 def copy_tables_jdbc(
@@ -58,15 +81,15 @@ def copy_tables_jdbc(
 ) -> DataFrame:
     """As ``copy_tables``, into tables ``<schema>.<name>`` of a database.
 
-    Existing tables are truncated, not dropped. The caller gives the driver and the credentials in
-    ``properties``.
+    Existing tables are truncated, not dropped; new ones get the declared column types of ``jdbc_column_types``. The caller
+    gives the driver and the credentials in ``properties``.
     """
 
     def write(name: str, df: DataFrame) -> int:
         table = f"{schema}.{name}"
-        df.write.option("truncate", True).option("batchsize", batch_rows).jdbc(
-            url, table, mode="overwrite", properties=dict(properties)
-        )
+        writer = df.write.option("truncate", True).option("batchsize", batch_rows)
+        writer = writer.option("createTableColumnTypes", jdbc_column_types(df.schema))
+        writer.jdbc(url, table, mode="overwrite", properties=dict(properties))
         # the database counts; the rows do not come back
         counted = f"(SELECT count(*) AS n_rows FROM {table}) counted"
         return df.sparkSession.read.jdbc(url, counted, properties=dict(properties)).first()[0]

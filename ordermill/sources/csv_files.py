@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.plans import files
 from ordermill.plans.lake import Lake
 from ordermill.schemas import OTHER_SPELLINGS, RAW_COLUMNS, raw_schema
 from ordermill.session import at_the_same_time
@@ -67,14 +68,18 @@ def file_of(csv_root: str, table: str, stem_prefix: str = "") -> str:
     return f"{csv_root.rstrip('/')}/{prefix}{FILE_STEMS[table]}.csv"
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _file_system(spark, path)
-    return files.exists(hadoop_path)
+def source_state(spark: SparkSession, csv_root: str, stem_prefix: str = "") -> dict[str, list]:
+    """Length and time of change of every file of every table, to tell whether sources changed."""
+    found = {}
+    for table in RAW_COLUMNS:
+        system, path = files.hadoop_path(spark, file_of(csv_root, table, stem_prefix))
+        found[table] = []
+        listed = system.listFiles(path, True) if system.exists(path) else None
+        while listed is not None and listed.hasNext():
+            status = listed.next()
+            found[table].append([status.getPath().getName(), status.getLen(), status.getModificationTime()])
+        found[table].sort()
+    return found
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
@@ -96,12 +101,12 @@ def split_files(spark: SparkSession, path: str) -> list[str]:
     return [r["file"] for r in named.collect()]
 
 
-def _read_lines(reader: DataFrameReader, path: str, found: list[str], files: Column | None) -> DataFrame:
+def _read_lines(reader: DataFrameReader, path: str, found: list[str], chosen: Column | None) -> DataFrame:
     """Records of one line each, with ``EXTRA``. Spark compares the header of every file with ``found``."""
     kept = "__whole_record"
     fields = T.StructType([T.StructField(c, T.StringType()) for c in [*found, kept]])
     rows = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", kept).schema(fields).csv(path)
-    rows = rows if files is None else rows.filter(files)
+    rows = rows if chosen is None else rows.filter(chosen)
     # Spark keeps the text of records that are too short or too long; read once more, the long ones have a field too many
     schema = ", ".join(f"`{c}` string" for c in [*found, EXTRA])
     again = F.from_csv(F.col(kept), F.lit(schema), {"quote": '"', "escape": '"'})
@@ -148,7 +153,7 @@ def load_raw(
 
     def load(table: str) -> DataFrame | None:
         path = file_of(csv_root, table, stem_prefix)
-        if not _exists(spark, path):
+        if not files.exists(spark, path):
             if not lake.exists("raw", table):
                 lake.write("raw", table, spark.createDataFrame([], raw_schema(table)))
             return None
@@ -156,6 +161,6 @@ def load_raw(
         return lake.write("raw", table, rows)
 
     tables = list(tables)
-    if not any(_exists(spark, file_of(csv_root, table, stem_prefix)) for table in tables):
+    if not any(files.exists(spark, file_of(csv_root, table, stem_prefix)) for table in tables):
         raise FileNotFoundError(f"no source files below {csv_root}")
     return load_report(at_the_same_time(load, tables))
