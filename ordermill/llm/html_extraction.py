@@ -10,9 +10,10 @@ page's own blocks stay. Both are judged at any number of pages and any share of
 judged by its own pages; what few pages tell is drawn towards content, as if ``PRIOR`` more pages had the node as content. Pages are told apart by the sequence of the blocks that they would give, dates and times left
 out, so copies that differ in scripts, tokens, adverts or dates count once, and a host full of copies keeps its text.
 
-Some presentation nodes need no statistics, as their tags or classes say that they are menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles or comments; they are removed first. If ``article`` or ``main``
-elements are left with text, they are the content.
+Some presentation nodes need no statistics, as their tags say that they are menus, headers, footers, sidebars, forms,
+scripts or styles; they are removed first. A class, id or role that says the same, or adverts, notices or comments, is a
+prompt only: it counts if the whole name says so and the element does not bear most of the page's text. If ``article`` or
+``main`` elements are left with text, they are the content; articles within comments are comments.
 
 The style tree is built by grouping (host, place, block) rows, so neither a host with a third of all pages nor a block
 that all pages share meets in one task. The lists of low places and of removed blocks are broadcast while they have at
@@ -69,6 +70,16 @@ NOISE = {
     "comment", "comments", "disqus", "widget", "toolbar", "pagination", "pager", "login", "signup", "search", "copyright",
     "contentinfo", "complementary",
 }
+# Words that may stand beside those in a name without changing what it means. Any other word does: a
+# "related-work" or "has-sidebar" is no related links and no sidebar.
+NEUTRAL = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "column", "container", "content", "feed", "form", "global",
+    "group", "header", "heading", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "panel", "post",
+    "posts", "primary", "reader", "right", "row", "secondary", "section", "site", "slot", "text", "thread", "title", "top", "unit",
+    "user", "wrap", "wrapper",
+}
+# Words of names of what readers wrote.
+COMMENTS = {"comment", "comments", "disqus"}
 # an opening tag ends open elements of the same kind, up to the nearest element that holds them
 CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
@@ -76,11 +87,16 @@ CLOSES = {
 }
 HOLDS = {"ul", "ol", "dl", "table", "select", "article", "main", "body", "div", "section", "nav", "aside", "footer", "header", "blockquote"}
 
-_REST = r"(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+"
+# the rest of a tag: a quote holds a value only behind an equals sign
+_REST = r"(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+"
+# a drawing or formula that was left open ends where a block of text begins or ends
+_BLOCKS = "address|article|aside|blockquote|body|div|dl|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|ul"
+_DRAWN = rf"(?:<foreignObject(?=[\s/>]).*?</foreignObject\s*+>|(?!</(?:svg|math)(?=[\s/>])|</?(?:{_BLOCKS})(?=[\s/>])).)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<alone>" + "|".join(FOREIGN) + r")(?=[\s/>])" + _REST + r"(?<=/)>"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
+    r"|<(?:" + "|".join(FOREIGN) + r")(?=[\s/>])" + _REST + ">" + _DRAWN + r"(?:</(?:" + "|".join(FOREIGN) + r")(?=[\s/>])[^>]*+>)?+"
+    r"|<(?P<raw>" + "|".join(r for r in RAW if r not in FOREIGN) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>" + _REST + r")>|<[!?/][^>]*+>",
     re.S | re.I,
 )
@@ -99,15 +115,17 @@ class _Places:
     """Numbers of places in a tree, remembered by their parent and the text of the tag."""
 
     def __init__(self):
-        self.known: dict[tuple[int, str, str], tuple[int, bool]] = {}
+        self.known: dict[tuple[int, str, str], tuple[int, str]] = {}
 
-    def of(self, parent: int, tag: str, attributes: str) -> tuple[int, bool]:
+    def of(self, parent: int, tag: str, attributes: str) -> tuple[int, str]:
+        """(place, what its names say: "noise", "comments" or nothing)"""
         key = (parent, tag, attributes)
         found = self.known.get(key)
         if found is None:
             names = sorted({w for m in _NAMES.finditer(attributes) for x in m.groups() if x for w in x.split()})
-            words = {w.lower() for name in names for w in _WORD.findall(name)}
-            noise = bool(words & NOISE) and tag not in CONTENT and tag not in ("html", "body")
+            words = [{w.lower() for w in _WORD.findall(name)} for name in names]
+            named = set().union(*(w & NOISE for w in words if w <= NOISE | NEUTRAL)) if tag not in ("html", "body") else set()
+            noise = "comments" if named & COMMENTS else "noise" if named else ""
             place = xxhash.xxh64_intdigest(f"{parent}/{tag}.{'.'.join(names)}") >> 1
             if len(self.known) > 200_000:
                 self.known.clear()
@@ -116,10 +134,15 @@ class _Places:
 
 
 def blocks(page: str, places: _Places) -> list[tuple[int, bool, str]]:
-    """(place, inside article or main, text) of the blocks of a page that are not known to be noise, in order."""
-    out: list[tuple[int, bool, str]] = []
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, place, skipped, content
+    """(place, inside article or main, text) of the blocks of a page that are not known to be noise, in order.
+
+    What a name says is only taken for true of elements that do not bear most of the page's text.
+    """
+    out: list[tuple[int, bool, str, tuple[int, ...]]] = []
+    # tag, place, skipped, content, elements around it that are noise by name, of those: left by an article
+    stack: list[tuple[str, int, bool, bool, tuple[int, ...], bool]] = [("", 0, False, False, (), True)]
     held: list[str] = []
+    named = 0
 
     def flush() -> None:
         if held:
@@ -127,7 +150,7 @@ def blocks(page: str, places: _Places) -> list[tuple[int, bool, str]]:
             if text:
                 # text belongs to the nearest element that is a block
                 at = next(x for x in reversed(stack) if x[0] not in INLINE)
-                out.append((at[1], at[3], text))
+                out.append((at[1], at[3], text, at[4]))
             held.clear()
 
     end = 0
@@ -159,18 +182,36 @@ def blocks(page: str, places: _Places) -> list[tuple[int, bool, str]]:
                 if stack[k][0] in ends:
                     del stack[k:]
                     break
-        elif tag in CONTENT and stack[-1][2]:
-            # an article is no part of a menu or advert that was left open
-            del stack[next(k for k, x in enumerate(stack) if x[2]) :]
-        _, place, skipped, content = stack[-1]
+        _, place, skipped, content, noisy, leaves = stack[-1]
         attributes = token["attributes"]
-        place, noise = places.of(place, tag, attributes if attributes.strip("/ \n\t") else "")
-        skipped = skipped or noise or (tag in SKIPPED and not (tag == "header" and content))
-        stack.append((tag, place, skipped, content or tag in CONTENT))
+        own, says = places.of(place, tag, attributes if attributes.strip("/ \n\t") else "")
+        if tag in CONTENT and not says and leaves and (skipped or noisy):
+            # an article is no part of a menu or advert that was left open; those of comments and in articles are
+            del stack[next(k for k, x in enumerate(stack) if x[2] or x[4]) :]
+            _, place, skipped, content, noisy, leaves = stack[-1]
+            own, says = places.of(place, tag, attributes if attributes.strip("/ \n\t") else "")
+        if says and (tag not in CONTENT or content or says == "comments"):
+            named += 1
+            noisy = (*noisy, named)
+        skipped = skipped or (tag in SKIPPED and not (tag == "header" and content))
+        content = content or tag in CONTENT
+        stack.append((tag, own, skipped, content, noisy, leaves and not content and says != "comments"))
     if end < len(page) and not stack[-1][2]:
         held.append(page[end:])
     flush()
-    return out
+    return _without_noise(out)
+
+
+def _without_noise(found: list[tuple[int, bool, str, tuple[int, ...]]]) -> list[tuple[int, bool, str]]:
+    """Blocks that are in no element that is noise by its name and bears no more than half of the page's text."""
+    if not any(noisy for *_, noisy in found):
+        return [x[:3] for x in found]
+    inside: Counter[int] = Counter()
+    for *_, text, noisy in found:
+        for element in noisy:
+            inside[element] += len(text)
+    half = sum(len(text) for _, _, text, _ in found) / 2
+    return [x[:3] for x in found if not any(inside[element] <= half for element in x[3])]
 
 
 def _chosen(found: list[tuple[int, bool, str]]) -> list[tuple[int, bool, str]]:

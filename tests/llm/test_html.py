@@ -42,6 +42,45 @@ def test_pages(page, text):
     assert one(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        # a word of a wrapper's name says nothing about what it holds
+        ('<div class="page has-sidebar"><h1>T</h1><p>one two</p></div>', "T one two"),
+        ('<div class="layout no-sidebar"><p>one</p><div class="sidebar-left">s</div></div>', "one"),
+        ('<body class="search login"><div id="content"><p>one</p></div></body>', "one"),
+        # nor does a name that is noise by itself, if the page is in it
+        ('<div class="banner"><h1>A long heading</h1><p>and all the text of the page</p></div><p>end</p>', "A long heading and all the text of the page end"),
+        ('<div id="banner"><p>the text of the page</p><div class="ads">buy</div></div>', "the text of the page"),
+        ('<article><p>a</p><div class="related-work">b</div><div class="search-results">c</div><p id="notice-period">d</p><p class="share-price">e</p></article>', "a b c d e"),
+        ('<article><p>all the text</p><div class="related-posts">b</div><ul class="social-share"><li>c</ul><div class="ad-slot">d</div></article>', "all the text"),
+        # comments of readers
+        ('<article><p>all of the story</p><article class="comment"><p>first!</p></article></article>', "all of the story"),
+        ('<article><p>all of the story</p></article><section id="comments"><article><p>first!</p></article><article class="x">b</article></section>', "all of the story"),
+        ('<article><p>all of the story</p><div class="reader-comments"><article><header>who</header>b</article></div><p>end</p></article>', "all of the story end"),
+        ('<div><p>all of the story here</p></div><div class="comment-list"><article>b</article></div>', "all of the story here"),
+        # quotes in odd places
+        ('<p class=a">one</p>', "one"),
+        ("<p class='a' \">one</p><p title=\"x > y\">two</p>", "one two"),
+        ("<p data-x=it's>one</p><p>don't</p>", "one don't"),
+        # drawings that are not closed
+        ('<article><p>one</p><svg width="1"><path d="M0"><p>two</p></article><footer>f</footer>', "one two"),
+        ('<article><p>one<svg><text>no</text></svg> two</p><math><mi>x</mi></article>', "one two"),
+        ('<article><svg><foreignObject><p>no</p></foreignObject><text>no</text></svg><p>yes</p></article>', "yes"),
+        ('<div><svg><g>no</div><div>yes</div>', "yes"),
+    ],
+)
+def test_names_prompt_and_broken_markup(page, text):
+    assert one(page) == text
+
+
+def test_pages_without_article_on_one_site(spark):
+    """Boilerplate without telling names goes by importance alone, on pages that have no article."""
+    page = '<div class="layout has-sidebar"><div class="x1"><p>Join our club today.</p></div><div class="x2"><h1>Title {0}</h1><p>Story {0} told.</p></div></div>'
+    pages = spark.createDataFrame([(i, "http://s.example/", page.format(i)) for i in range(30)], "page_id long, url string, html string")
+    assert {r["text"] for r in h.extract(pages).collect()} == {f"Title {i} Story {i} told." for i in range(30)}
+
+
 def test_site_noise_goes_and_content_stays(spark):
     site = [
         (i, f"http://a.example/{i}", f"<div><p>We sell all sorts of things.</p></div><section><p>Story {i}</p><p>part {i * 7}</p></section>", 1)
