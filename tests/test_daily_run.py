@@ -157,8 +157,9 @@ def test_large_rankings_use_no_single_task(spark, lake):
     products = lake.silver("silver_products")
     plan = plan_of(gold.gold_product_performance(products, rows_per_bucket=20))
     windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
-    # running sums within a range of values, and over the ranges of a group
-    assert len(windows) >= 2 and all(re.search(r"\[(part#\d+, )?kind#\d+, g#\d+\]", line) for line in windows)
+    # one window for each order, by buckets of bounded size; nothing is joined back
+    assert len(windows) == 3 and all(re.search(r"\[__bucket\d#\d+, __salt\d#\d+L?, \w+#\d+\]", line) for line in windows)
+    assert "Join" not in plan
     scores = gold.rfm_scores(gold.rfm_base(lake.silver("silver_orders"), AS_OF), rows_per_bucket=20)
     # quintiles are found beforehand: what is left neither sorts nor shuffles
     assert "Window" not in plan_of(scores) and "Exchange" not in plan_of(scores)
