@@ -10,7 +10,7 @@ find every candidate; ordered by rarity in the corpus, the rarest costs the leas
 4. exact comparison of the candidate's words with the window's.
 
 The items' shingles are broadcast while there are at most ``BROADCAST_ROWS`` of them, which is counted first; beyond
-that Spark joins by shuffles. Texts never travel: results are by text, identified by two 64-bit hashes, and joined to
+that Spark joins by shuffles, in which positions travel without their texts. Results are by text, identified by two 64-bit hashes, and joined to
 the documents' other columns.
 
 Defined results: NULL and empty texts have no words and no hits; NULL item ids count as the empty id; repeated rows are
@@ -52,6 +52,36 @@ def shingles(of: Column, size: int) -> Column:
     return found
 
 
+def _shared(read: DataFrame, known: DataFrame, size: int, whole: bool) -> DataFrame:
+    """Rows of ``read`` (__k1, __k2, w, row) by position: ``pos`` and ``h`` of each shingle that is ``known``.
+
+    With ``whole`` every text has a row of its own besides, at position -1. Shingles are hashed word by word as the words are
+    listed, which Spark compiles. If the known ones are too many to be broadcast, positions and hashes travel alone, and the
+    texts are joined once with the positions that they have.
+    """
+    lone = F.lit(_NO_SHINGLE).cast("long")
+    listed = F.concat(F.array(F.lit("")), "w") if whole else F.col("w")
+    spread = read.select("__k1", "__k2", "w", "row", F.posexplode(listed).alias("pos", "word"))
+    spread = spread.withColumn("pos", F.col("pos") - F.lit(int(whole)))
+    hashed = F.xxhash64("word")
+    for k in range(1, size):
+        hashed = F.xxhash64(hashed, F.xxhash64(F.get("w", F.col("pos") + k)))
+    inside = F.col("pos") + size <= F.size("w")
+    if known.count() <= BROADCAST_ROWS:
+        if whole:
+            known = known.unionByName(known.sparkSession.range(1).select(lone.alias("h")))
+        spread = spread.withColumn("h", F.when(F.col("pos") < 0, lone).when(inside, hashed)).drop("word")
+        return spread.join(F.broadcast(known), "h")
+    narrow = spread.where((F.col("pos") >= 0) & inside).select("__k1", "__k2", "pos", hashed.alias("h")).join(known, "h")
+    places = F.sort_array(F.collect_set(F.struct("pos", "h"))).alias("places")
+    held = keep(narrow.groupBy("__k1", "__k2").agg(places), "shared-places")
+    places = F.col("places")
+    if whole:
+        itself = F.array(F.struct(F.lit(-1).alias("pos"), lone.alias("h")))
+        places = F.concat(itself, F.coalesce(places, F.slice(itself, 1, 0)))
+    return read.join(held, ["__k1", "__k2"], "left" if whole else "inner").select("__k1", "__k2", "w", "row", F.inline(places))
+
+
 def _bounded(table: DataFrame) -> DataFrame:
     """The table with a broadcast hint if its counted rows are few enough."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
@@ -89,14 +119,9 @@ def _matches(
     for size in sizes:
         mine = windows.where(F.least("length", F.lit(shingle)) == size)
         grams.append(mine.select("id", F.posexplode(shingles(F.col("words"), size)).alias("offset", "h")))
-        known = grams[-1].select("h").distinct()
-        own = shingles(F.col("w"), size)
-        if size == sizes[0]:  # one pass gives every text a row too
-            known = known.unionByName(known.sparkSession.range(1).select(F.lit(_NO_SHINGLE).cast("long").alias("h")))
-            own = F.concat(F.array(F.lit(_NO_SHINGLE).cast("long")), own)
-        known = _bounded(keep(known, "item-shingles"))
-        spread = read.withColumn("grams", own).select("__k1", "__k2", "w", "row", F.posexplode("grams").alias("pos", "h"))
-        spread = spread.withColumn("pos", F.col("pos") - F.lit(int(size == sizes[0]))).join(known, "h")
+        known = keep(grams[-1].select("h").distinct(), "item-shingles")
+        # the first pass gives every text a row too
+        spread = _shared(read, known, size, size == sizes[0])
         low = F.greatest(F.col("pos") - F.lit(window - size), F.lit(0))
         parts.append(
             spread.select(

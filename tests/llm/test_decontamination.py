@@ -75,3 +75,32 @@ def test_no_python_in_the_plan(spark):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     plan = decontamination.mark(docs.withColumn("text", F.upper("text")), items)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, -1])
+def test_long_texts_and_copies(spark, monkeypatch, broadcast):
+    """A text of 60,000 words and many copies of one; without a broadcast the words around a place do not travel."""
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", broadcast)
+    window = [f"item{chr(97 + i)}" for i in range(12)]
+    long = [f"w{i % 977}" for i in range(60_000)]
+    long[41_000:41_000] = window
+    docs = [(0, " ".join(long)), *[(i, "some copy " + " ".join(window[:10]) + " end") for i in range(1, 200)], (500, " ".join(window[:9]))]
+    table = spark.createDataFrame([("it", " ".join(window)), ("x", "w3 w4 w5 w6 w7 w8 w9 w10 w11 nowhere")], "item_id string, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r for r in decontamination.mark(frame, table, window=10).collect()}
+    assert len(got) == len(docs)
+    assert (got[0]["n_words"], got[0]["n_hit"], list(got[0]["items"])) == (60_012, 12, ["it"])
+    assert all((got[i]["n_words"], got[i]["n_hit"]) == (13, 10) for i in range(1, 200)) and got[500]["n_hit"] == 0
+
+
+def test_without_a_broadcast_positions_travel_alone(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", -1)
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string").select("doc_id", F.upper("text").alias("text"))
+    read = docs.select(*decontamination._keys(F.col("text")), decontamination.words(F.col("text")).alias("w"), F.struct("doc_id").alias("row"))
+    plans = []
+    monkeypatch.setattr(decontamination, "keep", lambda df, name: plans.append((name, df)) or df)
+    known = spark.createDataFrame([(5,)], "h long")
+    decontamination._shared(read, known, 3, True)
+    held = dict(plans)["shared-places"]._jdf.queryExecution().optimizedPlan().toString()
+    left = held.split("Join ")[1].splitlines()[1]  # what the join's left side gives
+    assert "__k1#" in left and not re.search(r"(?:[\[,] ?)(?:w|row)#\d+[,\]]", left), left
