@@ -32,14 +32,15 @@ def build_bronze(lake: Lake) -> None:
 
 
 def _build_orders(lake: Lake) -> DataFrame:
+    wide = lake.hot_orders("reviews")
     rows = silver.silver_orders(
         lake.bronze("bronze_orders"),
         lake.bronze("bronze_order_items"),
         lake.bronze("bronze_payments"),
         lake.bronze("bronze_reviews"),
-        lake.hot_orders("reviews"),
+        wide,
     )
-    return lake.write("silver", "silver_orders", rows, in_order=True)
+    return lake.write("silver", "silver_orders", rows, in_order=True, plain=wide is not None and not wide.isEmpty())
 
 
 def _build_customers(lake: Lake, orders: DataFrame, as_of: str | datetime | None) -> DataFrame:

@@ -55,8 +55,8 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        # by default as many as a shuffle would make
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # by default as many as a shuffle would make; 0 stores all tables plain
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
 
     def path(self, layer: str, table: str = "") -> str:
         return f"{self.root}/{layer}/{table}".rstrip("/")
@@ -122,13 +122,14 @@ class Lake:
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{found['folder']}'")
         return self.spark.table(name)
 
-    def write(self, layer: str, table: str, df: DataFrame, in_order: bool = False) -> DataFrame:
+    def write(self, layer: str, table: str, df: DataFrame, in_order: bool = False, plain: bool = False) -> DataFrame:
         """Replace the table and read it back.
 
-        ``in_order``: the rows come dealt by the key of the table's buckets already.
+        ``in_order``: the rows come dealt by the key of the table's buckets already. ``plain``: no buckets, as some key has
+        very many rows.
         """
         version = f"v-{uuid.uuid4().hex}"
-        folder, key = f"{self.path(layer, table)}/{version}", BUCKETED.get((layer, table))
+        folder, key = f"{self.path(layer, table)}/{version}", BUCKETED.get((layer, table)) if self.buckets and not plain else None
         found = {"schema": df.schema.json()}
         if key is None:
             df.write.parquet(folder)
@@ -164,12 +165,12 @@ class Lake:
 
         self._publish(layer, "", version, {"tables": at_the_same_time(write, tables)})
 
-    def hot_orders(self, table: str) -> DataFrame:
-        """Orders with very many rows in a raw table, as counted when it was written."""
-        found = self._found("raw", table)
-        if found and found.get("hot"):
-            return self.spark.read.parquet(f"{found['folder']}/_hot")
-        return self.spark.createDataFrame([], "order_id string, salts int")
+    def hot_orders(self, table: str) -> DataFrame | None:
+        """Orders with very many rows in a raw table, as counted when it was written; None if they were not."""
+        hot = (found := self._found("raw", table)) and found.get("hot")
+        if hot is None:
+            return None
+        return self.spark.read.parquet(f"{found['folder']}/_hot") if hot else self.spark.createDataFrame([], "order_id string, salts int")
 
     def raw(self, table: str) -> DataFrame:
         return self.read("raw", table)

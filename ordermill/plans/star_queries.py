@@ -88,7 +88,7 @@ class StarModels:
         )
 
     def scratch_lake(self, name: str) -> Lake:
-        return Lake(self.spark, f"{scratch_dir(self.spark)}/{name}-{uuid.uuid4().hex[:8]}")
+        return Lake(self.spark, f"{scratch_dir(self.spark)}/{name}-{uuid.uuid4().hex[:8]}", buckets=0)
 
     def copied(self) -> DataFrame:
         """A lake that has its raw tables but one, copied to another."""

@@ -51,7 +51,7 @@ def copy_lake(source: Lake, target: Lake) -> DataFrame:
 
     def write(name: str, df: DataFrame) -> DataFrame:
         # rows that lie in as many buckets arrive dealt by the key
-        return target.write(*name.split("/"), df, in_order=source.buckets_of(*name.split("/")) == target.buckets)
+        return target.write(*name.split("/"), df, in_order=0 < source.buckets_of(*name.split("/")) == target.buckets)
 
     return _copy(tables, write)
 

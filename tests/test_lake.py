@@ -115,6 +115,7 @@ def test_orders_with_very_many_rows_are_not_stored_in_buckets(spark, lake, tmp_p
     assert hot.hot_orders("order_items").count() > 0 and hot.hot_orders("reviews").count() > 0
     assert lake.hot_orders("order_items").count() == 0
     daily_run.build_models(hot, AS_OF)
+    assert hot.buckets_of("silver", "silver_orders") == 0 < lake.buckets_of("silver", "silver_orders")
     for layer, table in (("silver", "silver_orders"), ("silver", "silver_products"), ("gold", "gold_revenue_daily")):
         assert rows(hot.read(layer, table)) == rows(lake.read(layer, table))
     assert rows(daily_run.live_mart(hot, "reviews_by_category", 1)) == rows(daily_run.live_mart(lake, "reviews_by_category", 1))
@@ -128,6 +129,17 @@ def test_a_copy_keeps_the_buckets(spark, lake, tmp_path):
     assert "Exchange" not in plan_of(other.raw("order_items").groupBy("order_id").count())
 
 
+def test_a_plain_lake_gives_the_same_tables(spark, lake, tmp_path, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 4)
+    plain = Lake(spark, str(tmp_path), buckets=0)
+    copy_lake(lake, plain).collect()
+    assert plain.buckets_of("raw", "order_items") == 0 and plain.hot_orders("order_items") is None
+    daily_run.build_models(plain, AS_OF)
+    for layer, table in (("silver", "silver_orders"), ("silver", "silver_products"), ("gold", "gold_customer_rfm")):
+        assert rows(plain.read(layer, table)) == rows(lake.read(layer, table))
+    assert rows(daily_run.live_mart(plain, "reviews_by_category", 1)) == rows(daily_run.live_mart(lake, "reviews_by_category", 1))
+
+
 def _csv(spark, root):
     raw = StarRaw(spark, SF_DIR)
     for table, stem in FILE_STEMS.items():
