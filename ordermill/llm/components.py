@@ -2,8 +2,11 @@
 
 Alternating stars: in the large star every vertex hands its larger neighbours to its smallest one, in the small star its
 smaller neighbours and itself. Both keep components whole, and the rounds end with every vertex next to the smallest
-of its component. A hub's rows meet its smallest neighbour in a join, not in one group, so a component that holds a
-third of all vertices is dealt out like the rest. Each round is written to the shared scratch folder.
+of its component. A hub's edges meet its smallest neighbour in a join, not in one group. The smallest neighbours are stored
+first: a grouped side would bring its partitioning into the join, while of two stored sides Spark can split a hub that
+holds a third of all edges over many tasks. All steps of a round are written to the shared scratch folder.
+
+Defined results: edges with NULL ends and loops are left out, repeated edges count once, a table without edges has no vertices.
 """
 
 from __future__ import annotations
@@ -47,12 +50,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    edges = _ordered(edges)
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    edges = keep(_ordered(edges), "ordered")
+    least = keep(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))

@@ -111,3 +111,34 @@ def test_long_chain_and_star(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
+
+
+def test_a_hub_of_a_third_of_all_edges_is_split(spark):
+    """The plan that ran has a skewed join: a grouped side would have kept Spark from splitting the hub."""
+    from ordermill.llm import components
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        n = 200_000
+        hub = spark.range(1, n // 3).selectExpr("id + 1000000 AS a", "0L AS b")
+        rest = spark.range(n).selectExpr("id * 3 + 5000000 AS a", "id * 3 + 5000001 AS b")
+        edges = components._ordered(hub.union(rest).union(spark.createDataFrame([(None, 3), (7, 7)], "a long, b long")))
+        star = components._large_star(components.keep(edges.repartition(8), "edges"))
+        star.write.format("noop").mode("overwrite").save()
+        star.collect()
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+        found = components.components(hub.union(rest))
+        assert found.where("root = 0").count() == n // 3 and found.groupBy("root").count().where("count = 2").count() == n
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
