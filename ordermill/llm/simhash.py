@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordermill.llm.anchors import Units
-from ordermill.llm.chunks import extended, finish, pack, pieces, text_buffer, unpack
+from ordermill.llm.chunks import columns_of, extended, finish, pack, pieces, row_of, text_buffer, unpack
 from ordermill.llm.components import components
 from ordermill.session import keep
 
@@ -182,9 +182,7 @@ def one_of_each(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """The document with the smallest id (NULL last) of each component, with the columns of ``docs``."""
-    inner = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).alias("id"), F.col(text).alias("text")
-    )
+    inner = docs.select(row_of(docs, text), F.col(id).alias("id"), F.col(text).alias("text"))
     chunks = pack(inner, "text", "simhash-chunks")
 
     def read(number: int, rows: pa.Table, _: dict) -> pa.Table:
@@ -205,10 +203,10 @@ def one_of_each(
         for batch in batches:
             for rows, places in zip(batch.column(0), batch.column(1)):
                 kept = unpack(rows.as_py()).take(pa.array(sorted(places.as_py()), pa.int64()))
-                yield from kept.select(["row"]).to_batches()
+                yield from kept.select(["row", "text"]).to_batches()
 
-    kept = chunks.join(chosen, "chunk").select("rows", "places").mapInArrow(left, StructType().add("row", inner.schema["row"].dataType))
-    return kept.select("row.*")
+    kept = chunks.join(chosen, "chunk").select("rows", "places").mapInArrow(left, inner.select("row", "text").schema)
+    return columns_of(kept, docs, text, F.col("text"))
 
 
 __all__ = ["fingerprint", "masks", "near_duplicates", "one_of_each"]

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ordermill.llm import repeats, substring_dedup, suffix_array_dedup
+from ordermill.llm import chunks, repeats, simhash, substring_dedup, suffix_array_dedup
 from ordermill.llm.anchors import Units
 from ordermill.llm.chunks import pack_arrays, unpack_arrays
 
@@ -102,3 +102,36 @@ def test_empty_and_characters(spark):
     rows = {r["doc_id"]: r["text"] for r in left.collect() if r["doc_id"]}
     assert 3 not in rows and rows[1].startswith("日本語テ") and rows[2].startswith("é") and rows[2].endswith("ü")
     assert left.where("doc_id is null").count() == 2
+
+
+def test_chunks_are_cut_from_small_batches(spark, monkeypatch):
+    """10,000 rows at once, as Spark sends by itself, took an executor's memory outside the heap."""
+    docs = spark.range(3_000, numPartitions=1).selectExpr("id", "repeat(string(id % 10), 10000) AS text")
+    name, really, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", chunks.keep, []
+
+    def measure(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+
+    def keep(df, kept_as):
+        sizes.extend(r["n"] for r in docs.mapInArrow(measure, "n long").collect())
+        return really(df, kept_as)
+
+    monkeypatch.setattr(chunks, "keep", keep)
+    before = spark.conf.get(name)
+    packed = chunks.pack(docs, "text", "small-batches")
+    assert len(sizes) > 5 and max(sizes) < 2 * chunks.BATCH_BYTES
+    assert spark.conf.get(name) == before
+    assert packed.selectExpr("sum(n_bytes)").first()[0] == 3_000 * 10_001
+
+
+@pytest.mark.parametrize("module,run", [
+    (simhash, simhash.one_of_each), (suffix_array_dedup, suffix_array_dedup.without_later_copies),
+])
+def test_texts_travel_once(spark, monkeypatch, module, run):
+    packed, really = [], module.pack
+    monkeypatch.setattr(module, "pack", lambda docs, *rest: packed.append(docs) or really(docs, *rest))
+    rows = [(1, "a b c d", "x", 5), (2, None, None, None), (3, "e f g é h", "y", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, order int")
+    got = run(docs)
+    assert got.columns == docs.columns and {(r["doc_id"], r["text"], r["row"], r["order"]) for r in got.collect()} >= {rows[0], rows[2]}
+    assert "a b c d" not in [value for r in packed[0].collect() for value in r["row"]]
