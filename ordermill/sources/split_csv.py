@@ -3,9 +3,11 @@
 Spark reads such a file in one task, because a task that starts in the middle cannot tell whether it stands inside a
 quoted field. Here every line is asked what it does to that state. A quote opens a field only where a field begins;
 elsewhere in an unquoted field it is text. So a line either ends in a state that does not depend on where it began, or it
-keeps the state, or turns it round. The effects of the lines of a file block, and then of the blocks of a file, are
-chained with window functions of bounded groups: the lines of a block, the blocks of a file. Then every block knows its
-records, and the lines with which a block begins in the middle of a record go to the last record of the block before.
+keeps the state, or turns it round. A file block is cut into stretches of consecutive lines. The effects of the lines of
+a stretch, and then of the stretches of a file, are chained with window functions of bounded groups: the lines of a
+stretch, the stretches of a file. Then every stretch knows its records, and the lines with which a stretch begins in the
+middle of a record go to the last record that began before. Stretches and records are dealt over the tasks of a shuffle,
+so what a task holds does not follow the size of a file block.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_BLOCK = ["file", "block"]
+_STRETCH = ["file", "block", "stretch"]
+_STRETCH_BITS = 10  # of a line's number: 1,024 lines
 # A line that begins outside quotes and ends inside: whole fields with their commas, then a quoted field without end.
 # After a closing quote the rest of a field is text up to the comma.
 _OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
@@ -57,61 +60,53 @@ def read_split_csv(spark: SparkSession, path: str, columns: list[str], files: Co
         F.monotonically_increasing_id().alias("line"),
         F.when(outside == inside, outside).alias("fixed"),
         F.when((outside == 1) & (inside == 0), 1).otherwise(0).alias("turns"),
-    )
-    # what a whole block does to the state: one row per block
-    in_block = Window.partitionBy(*_BLOCK).orderBy("line")
-    so_far = F.sum("turns").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("stretch", F.shiftright("line", _STRETCH_BITS))
+    # what a whole stretch does to the state, and how many records begin in it if it begins outside or inside: one row each
+    in_stretch = Window.partitionBy(*_STRETCH).orderBy("line")
+    so_far = in_stretch.rowsBetween(Window.unboundedPreceding, 0)
     last_fixed = F.max(F.when(F.col("fixed").isNotNull(), F.struct("line", "fixed", "so_far")))
-    blocks = (
-        lines.withColumn("so_far", so_far)
-        .groupBy(*_BLOCK)
-        .agg(last_fixed.alias("last"), F.sum("turns").alias("all_turns"))
+    stretches = (
+        lines.withColumn("so_far", F.sum("turns").over(so_far))
+        .withColumn("starts_0", (_state_before(F.lit(0), in_stretch) == 0).cast("int"))
+        .withColumn("starts_1", (_state_before(F.lit(1), in_stretch) == 0).cast("int"))
+        .groupBy(*_STRETCH)
+        .agg(last_fixed.alias("last"), F.sum("turns").alias("all_turns"), F.sum("starts_0").alias("n_0"), F.sum("starts_1").alias("n_1"))
         .select(
-            *_BLOCK,
+            *_STRETCH, "n_0", "n_1",
             ((F.col("last.fixed") + F.col("all_turns") - F.col("last.so_far")) % 2).alias("fixed"),
             F.when(F.col("last").isNull(), F.col("all_turns") % 2).otherwise(0).alias("turns"),
         )
-    )
-    in_file = Window.partitionBy("file").orderBy("block")
-    blocks = blocks.select(
-        *_BLOCK,
-        _state_before(F.lit(0), in_file).alias("begins"),
-        F.lead("block").over(in_file).alias("next_block"),
-        (F.row_number().over(in_file) == 1).alias("is_first_block"),
-    )
+    )
+    in_file = Window.partitionBy("file").orderBy("block", "stretch")
+    stretches = stretches.select(
+        *_STRETCH, "n_0", "n_1", _state_before(F.lit(0), in_file).alias("begins"), (F.row_number().over(in_file) == 1).alias("is_first")
+    ).withColumn("n", F.when(F.col("begins") == 0, F.col("n_0")).otherwise(F.col("n_1")))
+    endless = (F.sum("n").over(Window.partitionBy("file", "block")) == 0) & (F.col("block") < F.max("block").over(Window.partitionBy("file")))
+    # the last record that began in an earlier stretch
+    begun = F.when(F.col("n") > 0, F.struct("block", "stretch", F.col("n").alias("number"), "is_first"))
+    begun = F.last(begun, ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    refused = F.raise_error(F.concat(F.lit("a quoted field spans a whole block of "), F.col("file")))
+    stretches = stretches.select(*_STRETCH, "begins", "is_first", F.when(endless, refused).otherwise(begun).alias("begun"))
 
-    record = F.sum(F.col("starts").cast("int")).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
-    parts = (
-        lines.join(blocks, _BLOCK)
-        .withColumn("starts", _state_before(F.col("begins"), in_block) == 0)
-        .withColumn("record", record)
-        # a block is read as a whole by one task anyway, so the lines of a record are few
-        .groupBy(*_BLOCK, "record", "next_block", "is_first_block")
-        .agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("lines"))
-        .withColumn("text", F.array_join(F.transform("lines", lambda x: x["value"]), "\n"))
-        .withColumn("is_last", F.max("record").over(Window.partitionBy(*_BLOCK)) == F.col("record"))
-    )
-    # the last block of a file may hold nothing but the end of its last record
-    endless = F.col("is_last") & F.col("next_block").isNotNull()
-    ends = parts.filter(F.col("record") == 0).select(
-        "file",
-        F.col("block").alias("next_block"),
-        F.lit(True).alias("is_last"),
-        F.when(endless, F.raise_error(F.concat(F.lit("a quoted field spans a whole block of "), F.col("file"))))
-        .otherwise(F.col("text"))
-        .alias("rest"),
+    number = F.sum(F.col("starts").cast("int")).over(so_far)
+    own = F.struct("block", "stretch", "number", "is_first")
+    records = (
+        lines.join(stretches, _STRETCH)
+        .withColumn("starts", _state_before(F.col("begins"), in_stretch) == 0)
+        .withColumn("number", number)
+        .select("file", F.when(F.col("number") > 0, own).otherwise(F.col("begun")).alias("record"), "block", "line", "value")
+        .groupBy("file", "record")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
     )
     names = [*columns, EXTRA]
     schema = ", ".join(f"`{c}` string" for c in names)
     # PERMISSIVE fills up short records; what is too long shows in EXTRA
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
     records = (
-        parts.filter(F.col("record") > 0)
-        .join(ends, ["file", "next_block", "is_last"], "left")
-        .select(
+        records.select(
             "file",
-            (F.col("is_first_block") & (F.col("record") == 1)).alias("is_header"),
-            F.rtrim(F.concat_ws("\n", "text", "rest"), F.lit("\r")).alias("text"),
+            (F.col("record.is_first") & (F.col("record.number") == 1)).alias("is_header"),
+            F.rtrim(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), F.lit("\r")).alias("text"),
         )
         .filter(F.col("text") != "")
         .select("file", "is_header", F.from_csv("text", F.lit(schema), options).alias("r"))

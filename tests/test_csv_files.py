@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import random
+import re
 from contextlib import contextmanager
 from decimal import Decimal
 
@@ -113,6 +114,36 @@ def test_split_reader_equals_one_task(spark, tmp_path, line_end, block):
     assert found == {r[0]: [str(v) for v in r] for r in rows}
 
 
+@pytest.mark.parametrize("bits", [0, 2])
+@pytest.mark.parametrize("block", ["700", "1g"])
+def test_records_over_many_stretches(spark, tmp_path, monkeypatch, bits, block):
+    monkeypatch.setattr(split_csv, "_STRETCH_BITS", bits)
+    rows = [review(i, "a,\n\"b\"" if i % 2 else "t", "\n" * (i % 40) + "x") for i in range(80)]
+    path = tmp_path / "r.csv"
+    write_csv(path, REVIEW_HEADER, rows)
+    with _blocks_of(spark, block):
+        got = split_csv.read_split_csv(spark, str(path), REVIEW_HEADER).collect()
+    assert sorted([r[c] for c in REVIEW_HEADER] for r in got) == sorted([str(v) for v in r] for r in rows)
+
+
+def test_a_field_over_a_whole_block_fails_the_load(spark, tmp_path):
+    write_csv(tmp_path / "r.csv", REVIEW_HEADER, [review(1, "t", "line\n" * 200), review(2)])
+    with _blocks_of(spark, "100"), pytest.raises(Exception, match="spans a whole block"):
+        split_csv.read_split_csv(spark, str(tmp_path / "r.csv"), REVIEW_HEADER).collect()
+
+
+def test_a_block_is_dealt_over_many_tasks(spark, tmp_path):
+    """All lines of a file block went to one task, which sorted them several times."""
+    write_csv(tmp_path / "r.csv", REVIEW_HEADER, [review(i, "t", f"x\n{i}") for i in range(30_000)])
+    with _blocks_of(spark, "1g"):
+        rows = split_csv.read_split_csv(spark, str(tmp_path / "r.csv"), REVIEW_HEADER)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        sorted_by = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        text_moves = [keys for keys in sorted_by if "block" in keys or "record" in keys]
+        assert text_moves and all("stretch" in keys or "record" in keys for keys in text_moves)
+        assert rows.count() == 30_000
+
+
 BAD_RECORDS = {
     "short": ("r9,o9,5", ("o9", 5, None, None)),
     "stray quote": ('r9,o9,5,screen 5" big,one "word",2018-01-01 00:00:00,2018-01-02 00:00:00', ("o9", 5, 'screen 5" big', 'one "word"')),
