@@ -6,6 +6,10 @@ of its component. A hub's edges meet its smallest neighbour in a join, not in on
 first: a grouped side would bring its partitioning into the join, while of two stored sides Spark can split a hub that
 holds a third of all edges over many tasks. All steps of a round are written to the shared scratch folder.
 
+A round has three shuffles for groupings, besides those of its joins if these do not broadcast. Neither star makes more
+edges than it gets, so edges are made distinct once a round. The first grouping of a round also tells whether all
+components are stars, and is then the result itself: no round runs only to see that nothing moves.
+
 Defined results: edges with NULL ends and loops are left out, repeated edges count once, a table without edges has no vertices.
 """
 
@@ -19,43 +23,42 @@ from ordermill.session import keep
 
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, root): the smallest vertex of the component of each vertex in ``edges`` (a, b), of long type."""
-    current = keep(_ordered(edges.select("a", "b")), "edges")
-    mark = _mark(current)
+    current = keep(_oriented(edges.select("a", "b")), "edges")
     while True:
-        current = keep(_ordered(_small_star(_large_star(current))), "edges")
-        following = _mark(current)
-        if following == mark:
-            break
-        mark = following
-    # vertices next to their root; the root itself has no edge of its own
-    return current.select(F.col("a").alias("vertex"), F.col("b").alias("root")).unionByName(
-        current.select(F.col("b").alias("vertex"), F.col("b").alias("root")).distinct()
-    )
+        least = keep(_least(current), "least")
+        if not least.agg(F.max("moves")).first()[0]:
+            return least.select(F.col("u").alias("vertex"), F.col("m").alias("root"))
+        current = keep(_ordered(_small_star(_large_star(current, least))), "edges")
 
 
-def _ordered(edges: DataFrame) -> DataFrame:
-    """Each edge once, from the larger to the smaller vertex."""
-    return (
-        edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+def _oriented(edges: DataFrame) -> DataFrame:
+    """Edges from the larger to the smaller vertex, without loops."""
+    return edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 1))")).first()
-    )
+def _ordered(edges: DataFrame) -> DataFrame:
+    """Each edge once, from the larger to the smaller vertex."""
+    return _oriented(edges).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m, moves): the smallest of each vertex and its neighbours. In a star no vertex has smaller neighbours that differ,
+    or both a smaller and a larger one; ``moves`` marks those that have."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    least = keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    sums = both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    return sums.select("u", F.least("low", "u").alias("m"), F.expr("low < u AND high != low").alias("moves"))
+
+
+def _large_star(edges: DataFrame, least: DataFrame | None = None) -> DataFrame:
+    """Larger neighbours go to the smallest; ``edges`` lead from the larger to the smaller vertex, and so do the results."""
+    least = keep(_least(edges), "least") if least is None else least
+    return edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    edges = keep(_ordered(edges), "ordered")
+    edges = keep(edges, "large-star")
     least = keep(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))

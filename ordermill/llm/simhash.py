@@ -9,7 +9,8 @@ checked by counting its differing bits.
 
 Only distinct fingerprints enter the tables; copies share theirs. A bucket of more than ``bucket_rows`` fingerprints is
 dealt out in blocks, and each pair of blocks is a cell of its own, so no bucket is cut short and none fills a task.
-A cell gives a spanning forest of its links, never all of them; components are joined by ``components``.
+A cell gives a spanning forest of its links, never all of them; the forests of the cells of one part, which hold the same
+fingerprints under several masks, become stars there, and ``components`` joins the stars of all parts.
 
 Defined results: a text without words, an empty and a NULL text have fingerprint 0 and link like any other; fewer
 words than a shingle make one shingle; repeated rows belong together; ids may be NULL and repeated (``component_id`` is
@@ -95,7 +96,7 @@ def fingerprints(docs: DataFrame, text: str, shingle: int) -> DataFrame:
 
 
 def _links(prints: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
-    """Edges (a, b) that join all fingerprints within the radius, as spanning forests of cells."""
+    """Edges (a, b) that join all fingerprints within the radius, as stars of parts."""
     tables = [F.struct(F.lit(t).alias("t"), F.col("p").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks(radius))]
     members = prints.select("p", F.explode(F.array(*tables)).alias("x")).select("p", "x.t", "x.key")
     sizes = members.groupBy("t", "key").count().where(F.col("count") > bucket_rows)
@@ -112,7 +113,7 @@ def _links(prints: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
     cells = members.select("p", F.xxhash64("t", "key", "i", "j").alias("cell"))
 
     def link(table: pa.Table) -> pa.Table:
-        a, b = _forest(np.asarray(table.column("p")), np.asarray(table.column("cell")), radius)
+        a, b = _stars(*_forest(np.asarray(table.column("p")), np.asarray(table.column("cell")), radius))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     part = F.pmod(F.col("cell"), F.lit(parts)).alias("part")
@@ -136,16 +137,7 @@ def _forest(prints: np.ndarray, cells: np.ndarray, radius: int) -> tuple[np.ndar
     while len(left):
         apart = left[root[left] != root[left + step]]
         near = apart[np.bitwise_count((prints[apart] ^ prints[apart + step]).view(np.uint64)) <= radius]
-        while len(near):
-            x, y = root[near], root[near + step]
-            high, low = np.maximum(x, y), np.minimum(x, y)
-            np.minimum.at(root, high, low)
-            while True:
-                flat = root[root]
-                if np.array_equal(flat, root):
-                    break
-                root = flat
-            near = near[root[near] != root[near + step]]
+        root = _united(root, near, near + step)
         step += 1
         left = left[left + step < len(cells)]
         left = left[cells[left] == cells[left + step]]
@@ -153,6 +145,29 @@ def _forest(prints: np.ndarray, cells: np.ndarray, radius: int) -> tuple[np.ndar
     return prints[moved], prints[root[moved]]
 
 
+def _united(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root``, the smallest member of the group of each, after the groups of each x and y became one."""
+    while len(x):
+        high, low = np.maximum(root[x], root[y]), np.minimum(root[x], root[y])
+        np.minimum.at(root, high, low)
+        while True:
+            flat = root[root]
+            if np.array_equal(flat, root):
+                break
+            root = flat
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    return root
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a part with the same groups, each print next to the smallest of its group: cells of a part share prints."""
+    prints, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = _united(np.arange(len(prints)), at[: len(a)], at[len(a) :])
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return prints[moved], prints[root[moved]]
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:

@@ -108,6 +108,42 @@ def test_long_chain_and_star(spark):
     assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1301)}}
 
 
+def test_rounds_end_with_the_first_look_at_stars(spark, monkeypatch):
+    """Stars need no round at all, others no round that moves nothing; a round is four tables."""
+    from ordermill.llm import components as module
+
+    written, keep = [], module.keep
+    monkeypatch.setattr(module, "keep", lambda df, name: written.append(name) or keep(df, name))
+
+    def found(edges):
+        written.clear()
+        rows = module.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert len(rows) == len({r["vertex"] for r in rows})
+        return {r["vertex"]: r["root"] for r in rows}
+
+    stars = [(i, 0) for i in range(1, 50)] + [(0, 7), (100, 101), (3, None), (4, 4), (2, 0)]
+    assert found(stars) == {**{i: 0 for i in range(50)}, 100: 100, 101: 100}
+    assert written == ["edges", "least"]
+    assert found([(9, 5), (9, 3), (5, 1)]) == {1: 1, 3: 1, 5: 1, 9: 1}
+    rounds, last = divmod(len(written) - 2, 4)
+    assert last == 0 and 1 <= rounds <= 2
+
+
+def test_links_of_a_part_are_stars(spark):
+    """One group of near copies: the cells of a part share fingerprints, so its links leave every print next to one root."""
+    rng = random.Random(3)
+    chain = [rng.getrandbits(63)]
+    for _ in range(400):
+        p = chain[-1]
+        for i in rng.sample(range(63), 2):
+            p ^= 1 << i
+        chain.append(p)
+    prints = sorted(set(chain))
+    links = simhash._links(spark.createDataFrame([(p,) for p in prints], "p long"), 3, 1000).collect()  # one part
+    root = brute_roots(prints, 3)
+    assert {r["a"]: r["b"] for r in links} == {p: q for p, q in root.items() if p != q} and len(links) == len({r["a"] for r in links})
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
